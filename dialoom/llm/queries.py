@@ -12,6 +12,28 @@ from dialoom.session import read_table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User and assistant messages, as written; redelivered rows are still there."""
+    from dialoom.functions.labels import role_key
+
+    return read_table(spark, sf_dir, "messages").where(role_key(F.col("role")).isin("user", "assistant"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dialoom.llm.repetition import prevailing
+
+    # copies of a row get equal results, so only what is found needs to be made distinct
+    rows = _utterances(spark, sf_dir).select("dialogue_id", "pos", "content")
+    return prevailing(rows).select("dialogue_id", "pos").distinct()
+
+
+def p5_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dialoom.llm.repetition import repeated_share
+
+    rows = repeated_share(_utterances(spark, sf_dir).select("dialogue_id", "pos", "content"))
+    return rows.select("dialogue_id", "pos", "n_letters", "repeated_share").distinct()
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p7_overlaps(spark, sf_dir).where("exact_letters >= min_letters").select("doc_id", "item_id")
 
