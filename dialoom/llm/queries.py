@@ -19,6 +19,12 @@ def _utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "messages").where(role_key(F.col("role")).isin("user", "assistant"))
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dialoom.llm.replies import defective_replies
+
+    return defective_replies(read_table(spark, sf_dir, "messages"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from dialoom.llm.repetition import prevailing
 
