@@ -7,15 +7,96 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialoom.session import read_table
+from dialoom.functions.labels import id_key, label_key, role_key
+from dialoom.session import Scratch, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _resolved_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(dialogue_id, status, character, person, topic): ids of ``job`` as catalogue rows.
+
+    A user with a source row is the person of that row, any other one the person of its id.
+    """
+    jobs = read_table(spark, sf_dir, "jobs").select(
+        "dialogue_id", "status", id_key(F.col("job.character.id")).alias("ck"), id_key(F.col("job.user.id")).alias("uk"), id_key(F.col("job.topic.id")).alias("tk")
+    ).dropDuplicates(["dialogue_id"])
+    chars = read_table(spark, sf_dir, "characters")
+    names = chars.select("id", "id").toDF("ck", "character").union(chars.select("former_id", "id")).where("ck IS NOT NULL")
+    names = names.select(id_key(F.col("ck")).alias("ck"), "character").groupBy("ck").agg(F.min("character").alias("character"))
+    users = read_table(spark, sf_dir, "users").select(
+        id_key(F.col("id")).alias("uk"),
+        F.coalesce(F.concat(F.lit("row "), F.col("source_row_index").cast("string")), F.concat(F.lit("id "), F.col("id"))).alias("person"),
+    ).groupBy("uk").agg(F.max("person").alias("person"))
+    topics = read_table(spark, sf_dir, "topics").select(id_key(F.col("id")).alias("tk"), F.col("id").alias("topic")).groupBy("tk").agg(F.min("topic").alias("topic"))
+    return jobs.join(names, "ck", "left").join(users, "uk", "left").join(topics, "tk", "left").select("dialogue_id", "status", "character", "person", "topic")
+
+
+def _job_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dialoom.llm.splits import linked_groups
+
+    jobs = Scratch(spark, "jobs").table(_resolved_jobs(spark, sf_dir))
+    return linked_groups(jobs, "dialogue_id", ["character", "person", "topic"]).join(jobs, "dialogue_id")
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    jobs = _job_groups(spark, sf_dir)
+    ids = jobs.groupBy("component").agg(F.min("character").alias("group_id"))
+    return jobs.join(ids, "component").select("dialogue_id", "group_id")
+
+
+def p1_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dialoom.llm.splits import split_groups
+
+    return split_groups(_job_groups(spark, sf_dir), "dialogue_id", label="status").select("dialogue_id", "split")
+
+
+def _dialogue_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, place, part): scene first, then user and assistant messages, of dialogues in transcripts."""
+    scene = F.concat_ws("\n", F.col("scene.background"), F.col("scene.trigger"), F.col("scene.facts"))
+    heads = read_table(spark, sf_dir, "transcripts").select(F.col("dialogue_id").alias("id"), F.lit(-1).alias("place"), scene.alias("part"))
+    said = _utterances(spark, sf_dir).select(F.col("dialogue_id").alias("id"), F.col("pos").alias("place"), F.col("content").alias("part"))
+    return heads.unionByName(said)
+
+
+def _near_dialogues(spark: SparkSession, sf_dir: str):
+    from dialoom.llm.neardup import NearDuplicates
+
+    return NearDuplicates(_dialogue_parts(spark, sf_dir), k=5, threshold=0.6)
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _near_dialogues(spark, sf_dir).all_pairs().toDF("dialogue_id_a", "dialogue_id_b")
+
+
+def p3_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _near_dialogues(spark, sf_dir).groups().withColumnRenamed("id", "dialogue_id")
+
+
+def _labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Distinct dialogues with canonical labels, and the targets."""
+    targets = read_table(spark, sf_dir, "sampling_targets")
+    rows = read_table(spark, sf_dir, "transcripts").select(
+        "dialogue_id", label_key(F.col("conversation_start.mode")).alias("mk"), label_key(F.col("user_behavior.tone")).alias("tk")
+    ).distinct()
+    known = targets.select("mode", "tone", label_key(F.col("mode")).alias("mk"), label_key(F.col("tone")).alias("tk")).distinct()
+    return rows.join(known, ["mk", "tk"]).select("dialogue_id", "mode", "tone"), targets
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dialoom.llm.quota_sample import shortfalls
+
+    return shortfalls(*_labelled(spark, sf_dir), ["mode", "tone"]).select("plan_id", "mode", "tone")
+
+
+def p4_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dialoom.llm.quota_sample import draw
+
+    return draw(*_labelled(spark, sf_dir), "dialogue_id", ["mode", "tone"]).select("plan_id", "dialogue_id", "mode", "tone")
+
+
 def _utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User and assistant messages, as written; redelivered rows are still there."""
-    from dialoom.functions.labels import role_key
-
     return read_table(spark, sf_dir, "messages").where(role_key(F.col("role")).isin("user", "assistant"))
 
 
