@@ -86,46 +86,56 @@ def _quotas(total: int, proportions: list[float]) -> list[int]:
     return out
 
 
-def allocate(bundles: list[tuple[int, str, int]], proportions: list[float]) -> list[list[int]]:
-    """For bundles (size, label, groups) the number of groups for each split."""
-    p = [x / sum(proportions) for x in proportions]
-    k = len(p)
-    labels = sorted({b[1] for b in bundles})
-    by_label = {x: _quotas(sum(s * n for s, y, n in bundles if y == x), p) for x in labels}
-    in_all = _quotas(sum(s * n for s, _, n in bundles), p)
+def _flows(bundles: list[tuple[int, str, int]], in_all: list[int], by_label: dict[str, list[int]]) -> list[list[int]]:
+    """Records of each bundle for each split: the cheapest flow through the quotas."""
+    k, nb, labels = len(in_all), len(bundles), sorted(by_label)
     # nodes: source, bundles, (split, label), splits, sink
-    nb, nl = len(bundles), len(labels)
-    at_cell = lambda j, x: 1 + nb + j * nl + labels.index(x)
-    at_split = lambda j: 1 + nb + k * nl + j
-    sink = 1 + nb + k * nl + k
+    cell = {(j, x): 1 + nb + j * len(labels) + i for j in range(k) for i, x in enumerate(labels)}
+    split = [1 + nb + k * len(labels) + j for j in range(k)]
+    sink = split[-1] + 1
     much = sum(s * n for s, _, n in bundles)
     arcs, deal = [], []
     for i, (s, x, n) in enumerate(bundles):
         arcs.append((0, 1 + i, s * n, 0))
         for j in range(k):
             deal.append(len(arcs))
-            arcs.append((1 + i, at_cell(j, x), s * n, 0))
+            arcs.append((1 + i, cell[j, x], s * n, 0))
     for j in range(k):
         for x in labels:
-            arcs += [(at_cell(j, x), at_split(j), by_label[x][j], 0), (at_cell(j, x), at_split(j), much, 1)]
-        arcs += [(at_split(j), sink, in_all[j], 0), (at_split(j), sink, much, 3)]
+            arcs += [(cell[j, x], split[j], max(0, by_label[x][j]), 0), (cell[j, x], split[j], much, 1)]
+        arcs += [(split[j], sink, max(0, in_all[j]), 0), (split[j], sink, much, 3)]
     flow = min_cost_flow(sink + 1, arcs, 0, sink)
-    # whole groups, the largest first; what rounding leaves over goes where most is missing
+    return [[flow[deal[i * k + j]] for j in range(k)] for i in range(nb)]
+
+
+def allocate(bundles: list[tuple[int, str, int]], proportions: list[float]) -> list[list[int]]:
+    """For bundles (size, label, groups) the number of groups for each split.
+
+    Groups above a twentieth of the smallest quota are placed first, each bundle by the flow and
+    rounded; the flow of the others is then solved for what is left of the quotas.
+    """
+    p = [x / sum(proportions) for x in proportions]
+    k = len(p)
+    missing_in = {x: _quotas(sum(s * n for s, y, n in bundles if y == x), p) for x in {b[1] for b in bundles}}
+    missing = _quotas(sum(s * n for s, _, n in bundles), p)
     out = [[0] * k for _ in bundles]
-    missing, missing_in = list(in_all), {x: list(by_label[x]) for x in labels}
-    for i in sorted(range(nb), key=lambda i: -bundles[i][0]):
-        s, x, n = bundles[i]
-        f = [flow[deal[i * k + j]] for j in range(k)]
-        take = [v // s for v in f]
-        for _ in range(n - sum(take)):
-            j = max(range(k), key=lambda j: (min(missing[j] - (take[j] + 1) * s, 0), f[j] - take[j] * s, missing_in[x][j] - take[j] * s))
-            take[j] += 1
-        for j in range(k):
-            missing[j] -= take[j] * s
-            missing_in[x][j] -= take[j] * s
-        out[i] = take
-    # a group moves as long as that brings the splits nearer to their quotas
-    for i in sorted(range(nb), key=lambda i: -bundles[i][0]):
+    order = sorted(range(len(bundles)), key=lambda i: -bundles[i][0])
+    bound = min(missing) / 20
+    for part in ([i for i in order if bundles[i][0] > bound], [i for i in order if bundles[i][0] <= bound]):
+        flows = _flows([bundles[i] for i in part], missing, missing_in) if part else []
+        for i, f in zip(part, flows):
+            s, x, n = bundles[i]
+            take = [v // s for v in f]
+            for _ in range(n - sum(take)):
+                # where it fits, else where it exceeds the quota least; then by the flow left over
+                j = max(range(k), key=lambda j: (min(missing[j] - (take[j] + 1) * s, 0), f[j] - take[j] * s, missing_in[x][j] - take[j] * s))
+                take[j] += 1
+            for j in range(k):
+                missing[j] -= take[j] * s
+                missing_in[x][j] -= take[j] * s
+            out[i] = take
+    # small groups move as long as that brings the splits nearer to their quotas
+    for i in reversed(order):
         s = bundles[i][0]
         while True:
             a, b = min(range(k), key=lambda j: missing[j]), max(range(k), key=lambda j: missing[j])
