@@ -121,6 +121,12 @@ def p5_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("dialogue_id", "pos", "n_letters", "repeated_share").distinct()
 
 
+def p6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dialoom.llm.packing import pack
+
+    return pack(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "pack_sizes"))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p7_overlaps(spark, sf_dir).where("exact_letters >= min_letters").select("doc_id", "item_id")
 
