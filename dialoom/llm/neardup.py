@@ -4,9 +4,9 @@
 2. The shingles of a text are its distinct runs of ``k`` letters. ``ROUNDS`` one-permutation
    hashings give ``SAMPLES`` MinHash samples.
 3. Bands of ``rows`` samples are hashed; two texts with an equal band are a candidate pair.
-4. An odd sketch folds the first samples into a bitmap of parities. The population count of the
-   XOR of two sketches estimates the similarity; pairs that it puts clearly below the threshold
-   (``MARGIN`` standard deviations) are dropped.
+4. Odd sketches fold the samples into bitmaps of parities. The population count of the XOR of two
+   sketches estimates the similarity; pairs that it puts clearly below the threshold (``MARGIN``
+   standard deviations) are dropped, first by the one sketch, then by both.
 5. What is left is checked exactly on the shingle sets.
 
 A pair of similarity s is a candidate with probability 1 - (1 - s^rows)^(SAMPLES // rows): with
@@ -38,8 +38,8 @@ from dialoom.session import Scratch, ship_package
 
 ROUNDS, BINS = 4, 80
 SAMPLES = ROUNDS * BINS
-#: Bits of the odd sketch, samples folded into it, standard deviations of tolerance.
-SKETCH_BITS, FOLDED, MARGIN = 512, 160, 4.0
+#: Two odd sketches of so many bits, samples folded into each, standard deviations of tolerance.
+SKETCHES, SKETCH_BITS, FOLDED, MARGIN = 2, 512, SAMPLES // 2, 4.0
 _WORDS = SKETCH_BITS // 64
 _CHUNK_LETTERS = 300_000
 
@@ -86,21 +86,25 @@ def band_keys(samples: np.ndarray, rows: int) -> np.ndarray:
 
 
 def odd_sketches(samples: np.ndarray) -> np.ndarray:
-    """(texts, words) the parity bitmap of the first FOLDED samples."""
+    """(texts, words) the parity bitmaps, each of its own FOLDED samples."""
     n = len(samples)
-    place = mix(samples[:, :FOLDED] + np.arange(1, FOLDED + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) % np.uint64(SKETCH_BITS)
-    flat = (np.arange(n)[:, None] * SKETCH_BITS + place.astype(np.int64)).ravel()
-    odd = (np.bincount(flat, minlength=n * SKETCH_BITS) & 1).astype(np.uint8).reshape(n, SKETCH_BITS)
-    return np.packbits(odd, axis=1, bitorder="little").view(np.uint64).view(np.int64)
-
-
-def largest_distance(threshold: float) -> int:
-    """The population count of an XOR above which a pair is clearly below the threshold."""
+    out = []
+    for k in range(SKETCHES):
+        part = samples[:, k * FOLDED : (k + 1) * FOLDED]
+        place = mix(part + np.arange(1, FOLDED + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) % np.uint64(SKETCH_BITS)
+        flat = (np.arange(n)[:, None] * SKETCH_BITS + place.astype(np.int64)).ravel()
+        odd = (np.bincount(flat, minlength=n * SKETCH_BITS) & 1).astype(np.uint8).reshape(n, SKETCH_BITS)
+        out.append(np.packbits(odd, axis=1, bitorder="little").view(np.uint64).view(np.int64))
+    return np.concatenate(out, axis=1)
+
+
+def largest_distance(threshold: float, sketches: int = 1) -> int:
+    """The population count of XORs above which a pair is clearly below the threshold."""
     differ = 2 * FOLDED * (1 - threshold)
     mean = SKETCH_BITS / 2 * (1 - math.exp(-2 * differ / SKETCH_BITS))
     sampling = 2 * math.sqrt(FOLDED * threshold * (1 - threshold)) * math.exp(-2 * differ / SKETCH_BITS)
     folding = math.sqrt(SKETCH_BITS / 4 * (1 - math.exp(-4 * differ / SKETCH_BITS)))
-    return math.ceil(mean + MARGIN * math.hypot(sampling, folding))
+    return math.ceil(sketches * mean + math.sqrt(sketches) * MARGIN * math.hypot(sampling, folding))
 
 
 def shingle_set(text: str, k: int) -> set[str]:
@@ -116,7 +120,7 @@ def signatures(parts: DataFrame, k: int, rows: int) -> DataFrame:
     bands = SAMPLES // rows
     schema = T.StructType(
         [T.StructField("id", parts.schema["id"].dataType), T.StructField("letters", T.StringType()), T.StructField("n", T.IntegerType())]
-        + [T.StructField(x, T.LongType()) for x in ("c1", "c2", *(f"s{i}" for i in range(_WORDS)))]
+        + [T.StructField(x, T.LongType()) for x in ("c1", "c2", *(f"s{i}" for i in range(SKETCHES * _WORDS)))]
         + [T.StructField("bands", T.ArrayType(T.LongType()))]
     )
 
@@ -133,7 +137,7 @@ def signatures(parts: DataFrame, k: int, rows: int) -> DataFrame:
         ends = pa.array(np.arange(len(keep) + 1, dtype=np.int32) * bands)
         return pa.RecordBatch.from_arrays(
             [pa.array([ids[i] for i in keep], id_type), pa.array(text, pa.string()), pa.array(np.diff(off)[keep].astype(np.int32)), pa.array(c[:, 0]), pa.array(c[:, 1])]
-            + [pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(_WORDS)]
+            + [pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(SKETCHES * _WORDS)]
             + [pa.ListArray.from_arrays(ends, pa.array(keys.ravel()))],
             names=schema.names,
         )
@@ -182,11 +186,21 @@ class NearDuplicates:
         banded = lone.select(number, F.explode("bands").alias("band"))
         other = banded.withColumnRenamed("x", "y")
         candidates = banded.join(other, "band").where("x < y").select("x", "y").distinct()
-        sketch = lone.select(number, *[f"s{i}" for i in range(_WORDS)])
-        for_y = sketch.select(F.col("x").alias("y"), *[F.col(f"s{i}").alias(f"t{i}") for i in range(_WORDS)])
-        apart = sum((F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"t{i}"))) for i in range(1, _WORDS)), F.bit_count(F.col("s0").bitwiseXOR(F.col("t0"))))
-        close = candidates.join(sketch, "x").join(for_y, "y").where(apart <= largest_distance(threshold)).select("x", "y")
-        close = self.scratch.table(close)
+
+        def with_distance(pairs: DataFrame, k: int) -> DataFrame:
+            """Pairs that come with the distance ``d`` so far, and that of sketch k added."""
+            at = range(k * _WORDS, (k + 1) * _WORDS)
+            one = lone.select(number, *[F.col(f"s{i}") for i in at])
+            two = lone.select(number.alias("y"), *[F.col(f"s{i}").alias(f"t{i}") for i in at])
+            d = F.col("d")
+            for i in at:
+                d = d + F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"t{i}")))
+            return pairs.join(one, "x").join(two, "y").select("x", "y", d.alias("d"))
+
+        close = candidates.withColumn("d", F.lit(0))
+        for k in range(SKETCHES):
+            close = with_distance(close, k).where(F.col("d") <= largest_distance(threshold, k + 1))
+        close = self.scratch.table(close.select("x", "y"))
         text = lone.select(number, "id", "letters")
         in_pair = close.select("x").union(close.select(F.col("y").alias("x"))).distinct()
         text = text.join(in_pair, "x", "left_semi")
@@ -199,8 +213,11 @@ class NearDuplicates:
         def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 out = []
+                last, y = None, set()
                 for ia, la, ib, lb in zip(*(c.to_pylist() for c in b.columns)):
-                    x, y = shingle_set(la, k), shingle_set(lb, k)
+                    if ib != last:  # the join leaves equal ones together
+                        last, y = ib, shingle_set(lb, k)
+                    x = shingle_set(la, k)
                     common = len(x & y)
                     union = len(x) + len(y) - common
                     if common >= threshold * union - 1e-9:
