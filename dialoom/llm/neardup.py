@@ -187,9 +187,9 @@ class NearDuplicates:
         other = banded.withColumnRenamed("x", "y")
         candidates = banded.join(other, "band").where("x < y").select("x", "y").distinct()
 
-        def with_distance(pairs: DataFrame, k: int) -> DataFrame:
-            """Pairs that come with the distance ``d`` so far, and that of sketch k added."""
-            at = range(k * _WORDS, (k + 1) * _WORDS)
+        def with_distance(pairs: DataFrame, which: int) -> DataFrame:
+            """Pairs that come with the distance ``d`` so far, and that of one more sketch added."""
+            at = range(which * _WORDS, (which + 1) * _WORDS)
             one = lone.select(number, *[F.col(f"s{i}") for i in at])
             two = lone.select(number.alias("y"), *[F.col(f"s{i}").alias(f"t{i}") for i in at])
             d = F.col("d")
@@ -198,8 +198,8 @@ class NearDuplicates:
             return pairs.join(one, "x").join(two, "y").select("x", "y", d.alias("d"))
 
         close = candidates.withColumn("d", F.lit(0))
-        for k in range(SKETCHES):
-            close = with_distance(close, k).where(F.col("d") <= largest_distance(threshold, k + 1))
+        for which in range(SKETCHES):
+            close = with_distance(close, which).where(F.col("d") <= largest_distance(threshold, which + 1))
         close = self.scratch.table(close.select("x", "y"))
         text = lone.select(number, "id", "letters")
         in_pair = close.select("x").union(close.select(F.col("y").alias("x"))).distinct()
