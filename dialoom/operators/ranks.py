@@ -2,29 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def random_rank(df: DataFrame, keys: list[str], id_cols: list[str], salt: str, out: str = "rank", buckets_log2: int = 6) -> DataFrame:
+def random_rank(
+    df: DataFrame, keys: list[str], id_cols: list[str], salt: str, out: str = "rank", buckets_log2: int = 6, hex_order: Column | None = None
+) -> DataFrame:
     """``df`` with ``out``: 1, 2, ... within ``keys`` in the order of a hash of salt and ids.
 
     A group is cut into ranges of the hash; each range is ranked on its own and shifted by the
     number of rows in the ranges before it, so no task sorts a whole group. Equal hashes fall
-    back on the ids. The same salt gives the same ranks on every run and partitioning.
+    back on the ids. The same salt gives the same ranks on every run and partitioning. With
+    ``hex_order``, the hash is this column of hexadecimal digits (an MD5, say) and the ranges are
+    its first two digits.
     """
     h, bucket, before = "__hash", "__bucket", "__before"
-    hashed = df.withColumn(h, F.xxhash64(F.lit(salt), *[F.col(c) for c in id_cols]))
-    hashed = hashed.withColumn(bucket, F.shiftright(h, 64 - buckets_log2).cast("int"))
+    if hex_order is None:
+        hashed = df.withColumn(h, F.xxhash64(F.lit(salt), *[F.col(c) for c in id_cols])).withColumn(bucket, F.shiftright(h, 64 - buckets_log2).cast("int"))
+    else:
+        hashed = df.withColumn(h, hex_order).withColumn(bucket, F.conv(F.substring(h, 1, 2), 16, 10).cast("int"))
     counts = hashed.groupBy(*keys, bucket).agg(F.count("*").alias("__n"))
-    shift = counts.select(
-        *keys, bucket, F.coalesce(F.sum("__n").over(Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(before)
-    )
+    so_far = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    shift = counts.select(*keys, bucket, F.coalesce(F.sum("__n").over(so_far), F.lit(0)).alias(before))
     own = F.row_number().over(Window.partitionBy(*keys, bucket).orderBy(h, *id_cols))
-    ranked = hashed.withColumn(out, own)
-    cond = [ranked[k].eqNullSafe(shift[k]) for k in keys] + [ranked[bucket] == shift[bucket]]
-    cond_all = cond[0]
-    for c in cond[1:]:
-        cond_all = cond_all & c
-    joined = ranked.join(shift, cond_all)
-    return joined.select(*[ranked[c] for c in df.columns if c != out], (ranked[out] + shift[before]).alias(out))
+    ranked = hashed.withColumn(out, own).alias("r")
+    same = F.col(f"r.{bucket}") == F.col(f"s.{bucket}")
+    for k in keys:
+        same = same & F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}"))
+    joined = ranked.join(shift.alias("s"), same)
+    return joined.select(*[F.col(f"r.{c}") for c in df.columns if c != out], (F.col(f"r.{out}") + F.col(before)).alias(out))
