@@ -10,7 +10,11 @@ import hashlib
 import json
 
 import pandas as pd
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from dialoom.session import ship_package
 
 
 def canonical(value) -> str:
@@ -22,10 +26,8 @@ def digest_of(value) -> str:
     return hashlib.sha256(canonical(value).encode("utf-8", "surrogatepass")).hexdigest()
 
 
-@F.pandas_udf("string")
-def canonical_digest(text: pd.Series) -> pd.Series:
-    """the SHA-256 of the canonical form of JSON text; null for null or broken text."""
-
+@F.pandas_udf(T.StringType())
+def _digests(text: pd.Series) -> pd.Series:
     def one(t):
         try:
             return digest_of(json.loads(t)) if t is not None else None
@@ -35,6 +37,12 @@ def canonical_digest(text: pd.Series) -> pd.Series:
     return text.map(one)
 
 
+def canonical_digest(c: Column) -> Column:
+    """the SHA-256 of the canonical form of JSON text; null for null or broken text."""
+    ship_package(SparkSession.active())
+    return _digests(c)
+
+
 def tolerant_object(text: str | None):
     """the one JSON object of a model's reply, or None.
 
@@ -62,7 +70,12 @@ def tolerant_object(text: str | None):
     return value if isinstance(value, dict) and not set(body[end:]) & set("{}[]") else None
 
 
-@F.pandas_udf("string")
-def tolerant_json(text: pd.Series) -> pd.Series:
-    """F3 as a column: the object in canonical form, null where it is refused."""
+@F.pandas_udf(T.StringType())
+def _objects(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if (v := tolerant_object(t)) is None else canonical(v))
+
+
+def tolerant_json(c: Column) -> Column:
+    """F3 as a column: the object in canonical form, null where it is refused."""
+    ship_package(SparkSession.active())
+    return _objects(c)
