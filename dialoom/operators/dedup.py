@@ -56,7 +56,7 @@ def overlap_edges(f: DataFrame, strong: int = 3) -> DataFrame:
     ).distinct()
     holders = ones.union(twos).join(small, "k", "left_semi")
     # a key of one profile alone links nothing
-    linked = triples.union(holders)
+    linked = triples.unionByName(holders)
     useful = linked.groupBy("k").agg(F.count("*").alias("c")).where("c > 1").select("k")
     return linked.join(useful, "k").select(F.concat(F.lit("p:"), F.col("id").cast("string")).alias("src"), F.concat(F.lit("~"), "k").alias("dst"))
 

@@ -10,9 +10,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-BOM = "﻿"
+BOM = "\ufeff"
 
 
 def json_documents(spark: SparkSession, path: str, glob: str = "*.json", schema: str | None = None) -> DataFrame:
@@ -22,7 +21,7 @@ def json_documents(spark: SparkSession, path: str, glob: str = "*.json", schema:
     the text as VARIANT. The scan is not recursive and has no order; sort by ``file_name``.
     """
     text = (
-        spark.read.option("wholetext", True).option("pathGlobFilter", glob).option("recursiveFileLookup", False).text(path)
+        spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", False).text(path, wholetext=True)
         .select(F.col("_metadata.file_name").alias("file_name"), F.regexp_replace("value", f"^{BOM}", "").alias("raw"))
     )
     if schema:
@@ -97,7 +96,7 @@ def transcripts(spark: SparkSession, path: str, glob: str = "dialogue_*.json") -
 
 def progress_logs(spark: SparkSession, path: str, glob: str = "*.progress.log") -> DataFrame:
     """Progress logs in either form: a JSON object with ``events``, or plain lines."""
-    text = spark.read.option("wholetext", True).option("pathGlobFilter", glob).text(path)
+    text = spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
     raw = F.regexp_replace("value", f"^{BOM}", "")
     parsed = F.from_json(raw, "format_version string, events array<string>, character_name string")
     lines = F.filter(F.split(raw, "\r\n|[\n\r]"), lambda x: x != "")
@@ -166,5 +165,3 @@ def rubric(spark: SparkSession) -> DataFrame:
     """(ord, dimension_id, principle, criterion), seven rows."""
     return spark.createDataFrame([(i, *r) for i, r in enumerate(RUBRIC)], "ord int, dimension_id string, principle string, criterion string")
 
-
-STRUCT = T.StructType  # re-exported for callers that build schemas
