@@ -86,7 +86,7 @@ def _labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from dialoom.llm.quota_sample import shortfalls
 
-    return shortfalls(*_labelled(spark, sf_dir), ["mode", "tone"]).select("plan_id", "mode", "tone")
+    return shortfalls(*_labelled(spark, sf_dir), "dialogue_id", ["mode", "tone"]).select("plan_id", "mode", "tone")
 
 
 def p4_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,4 +154,56 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL of what SQL can say over whole tables; it looks at every window, pair or path."""
+    from dialoom.llm.uniform import uniform_sql
+
+    full, half = "".join(chr(c) for c in range(0xFF01, 0xFF5F)).replace("'", "''"), "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)).replace("'", "''")
+    wide = lambda x: f"translate({x}, '{full}', '{half}')"
+    label = lambda x: f"lower(regexp_replace({wide(x)}, '[^\\p{{L}}\\p{{N}}]+', '', 'g'))"
+    letters = lambda x: f"regexp_replace(lower({x}), '[^\\p{{L}}\\p{{N}}]', '', 'g')"
+
+    def key(x: str) -> str:
+        plain = f"lower(regexp_replace({wide(x)}, '[^\\p{{L}}\\p{{N}}/.]+', '', 'g'))"
+        stem = f"replace(regexp_replace(regexp_replace({plain}, '^.*/', ''), '\\.json$', ''), '.', '')"
+        return f"regexp_replace({stem}, '(^|[^0-9])0+([0-9])', '\\1\\2', 'g')"
+
+    said = f"""said AS (SELECT DISTINCT dialogue_id, pos, content FROM messages WHERE {label('role')} IN ('user', 'assistant', 'character'))"""
+    share = f"""WITH {said}, m AS (SELECT dialogue_id, pos, {letters("coalesce(content, '')")} AS l FROM said),
+        g AS (SELECT dialogue_id, pos, i, substr(l, i, 10) AS gram FROM (SELECT *, unnest(range(1, length(l) - 8)) AS i FROM m WHERE length(l) >= 10)),
+        r AS (SELECT dialogue_id, pos, i FROM (SELECT *, row_number() OVER (PARTITION BY dialogue_id, pos, gram ORDER BY i) AS k FROM g) WHERE k > 1),
+        c AS (SELECT dialogue_id, pos, count(DISTINCT i + k) AS n FROM r CROSS JOIN range(10) x(k) GROUP BY dialogue_id, pos),
+        s AS (SELECT m.dialogue_id, m.pos, CAST(length(l) AS INTEGER) AS n_letters, CASE WHEN length(l) > 0 THEN round(coalesce(n, 0) / length(l), 6) ELSE 0 END AS repeated_share FROM m LEFT JOIN c USING (dialogue_id, pos))"""
+    jobs = f"""j AS (SELECT dialogue_id, min({key('job.character.id')}) AS ck, min({key('job.user.id')}) AS uk, min({key('job.topic.id')}) AS tk FROM jobs GROUP BY dialogue_id),
+        cn AS (SELECT k, min(id) AS id FROM (SELECT {key('id')} AS k, id FROM characters UNION ALL SELECT {key('former_id')}, id FROM characters) WHERE k IS NOT NULL GROUP BY k),
+        un AS (SELECT {key('id')} AS k, max(coalesce('row ' || source_row_index, 'id ' || id)) AS id FROM users GROUP BY 1),
+        q AS (SELECT dialogue_id, cn.id AS c, 'u' || un.id AS u, 't' || tk AS t FROM j LEFT JOIN cn ON cn.k = ck LEFT JOIN un ON un.k = uk),
+        e AS (SELECT DISTINCT 'c' || c AS a, u AS b FROM q WHERE u IS NOT NULL UNION SELECT 'c' || c, t FROM q WHERE t IS NOT NULL),
+        b AS (SELECT a, b FROM e UNION SELECT b, a FROM e UNION SELECT 'c' || c, 'c' || c FROM q)"""
+    labelled = f"""r AS (SELECT DISTINCT dialogue_id, {label('conversation_start.mode')} AS mk, {label('user_behavior.tone')} AS tk FROM transcripts),
+        n AS (SELECT mk, tk, count(DISTINCT dialogue_id) AS available FROM r GROUP BY ALL)"""
+    near = f"""WITH {said}, scene AS (SELECT dialogue_id, min(coalesce(scene.background, '') || coalesce(scene.trigger, '') || coalesce(array_to_string(scene.facts, ''), '')) AS s FROM transcripts GROUP BY dialogue_id),
+        body AS (SELECT dialogue_id, string_agg(content, '' ORDER BY pos) AS c FROM said GROUP BY dialogue_id),
+        d AS (SELECT dialogue_id, {letters("s || coalesce(c, '')")} AS l FROM scene LEFT JOIN body USING (dialogue_id)),
+        g AS (SELECT DISTINCT dialogue_id, substr(l, i, 5) AS x FROM (SELECT *, unnest(range(1, length(l) - 3)) AS i FROM d WHERE length(l) >= 5)),
+        n AS (SELECT dialogue_id, count(*) AS n FROM g GROUP BY dialogue_id),
+        o AS (SELECT a.dialogue_id AS a, b.dialogue_id AS b, count(*) AS c FROM g a JOIN g b ON a.x = b.x AND a.dialogue_id < b.dialogue_id GROUP BY ALL)
+        SELECT a AS dialogue_id_a, b AS dialogue_id_b FROM o JOIN n p ON p.dialogue_id = a JOIN n q ON q.dialogue_id = b WHERE c >= 0.6 * (p.n + q.n - c)"""
+    doc = f"u AS (SELECT {uniform_sql('text', 'documents', 'doc_id, text, ')})"
+    item = f"v AS (SELECT {uniform_sql('text', 'eval_items', 'item_id, lang, ')})"
+    leak = f"""WITH {doc}, {item}, dl AS (SELECT doc_id, {letters('t')} AS l FROM u WHERE t IS NOT NULL),
+        il AS (SELECT item_id, {letters('t')} AS l, CASE lang WHEN 'zh' THEN 30 ELSE 60 END AS n FROM v WHERE t IS NOT NULL),
+        iw AS (SELECT DISTINCT item_id, n, substr(l, i, n) AS w FROM (SELECT *, unnest(range(1, length(l) - n + 2)) AS i FROM il WHERE length(l) >= n)),
+        dw AS (SELECT DISTINCT doc_id, n, substr(l, i, n) AS w FROM (SELECT *, unnest(range(1, length(l) - n + 2)) AS i FROM (SELECT * FROM dl CROSS JOIN (VALUES (30), (60)) x(n)) WHERE length(l) >= n))
+        SELECT DISTINCT doc_id, item_id FROM dw JOIN iw USING (n, w)"""
+    return {
+        "p1_found": f"""WITH RECURSIVE {jobs}, reach(x, y) AS (SELECT a, b FROM b UNION SELECT r.x, b.b FROM reach r JOIN b ON r.y = b.a),
+            g AS (SELECT x, min(substr(y, 2)) FILTER (y LIKE 'c%') AS group_id FROM reach GROUP BY x) SELECT dialogue_id, group_id FROM q JOIN g ON g.x = 'c' || c""",
+        "p3_found": near,
+        "p4_found": f"""WITH {labelled} SELECT plan_id, mode, tone FROM sampling_targets LEFT JOIN n ON mk = {label('mode')} AND tk = {label('tone')}
+            WHERE coalesce(available, 0) < greatest(share * sample_size, min_rows)""",
+        "p5_found": f"{share} SELECT dialogue_id, pos FROM s WHERE n_letters >= 40 AND repeated_share >= 0.5",
+        "p5_share": f"{share} SELECT * FROM s",
+        "p7_found": leak,
+        "p8_found": f"""WITH {doc} SELECT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM u a JOIN u b ON a.t = b.t AND a.doc_id < b.doc_id AND a.text <> b.text WHERE regexp_matches(a.t, '\\S')""",
+        "p8_uniform": f"WITH {doc} SELECT doc_id, t AS uniform_text FROM u",
+    }

@@ -89,6 +89,22 @@ def translation() -> tuple[str, str, list[tuple[str, str]]]:
     return "".join(one), "".join(one.values()), many
 
 
+def uniform_sql(column: str, table: str, more: str = "") -> str:
+    """The rest of a SELECT that gives the uniform form of a column as ``t``, with ``more`` columns."""
+    frm, to, many = translation()
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    # both character lists are constants, so a row costs one lookup per character
+    x = f"regexp_replace({column}, {quote(INVISIBLE)}, '', 'g')"
+    x = f"replace(nfc_normalize({x}), chr(13) || chr(10), chr(10))"
+    x = f"translate({x}, {quote(frm)}, {quote(to)})"
+    ligatures = "[" + "".join(a for a, _ in many) + "]"
+    chain = "u"
+    for a, b in many:
+        chain = f"replace({chain}, {quote(a)}, {quote(b)})"
+    inner = f"(SELECT *, {x} AS u FROM {table})"
+    return f"{more}nfc_normalize(CASE WHEN regexp_matches(u, {quote(ligatures)}) THEN {chain} ELSE u END) AS t FROM {inner}"
+
+
 class Uniform:
     """The embedded SQL over one Arrow column; one per Python worker and task."""
 
@@ -96,20 +112,7 @@ class Uniform:
         import duckdb
 
         self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "300MB"})
-        frm, to, many = translation()
-        quote = lambda s: "'" + s.replace("'", "''") + "'"
-        x = f"regexp_replace(t, {quote(INVISIBLE)}, '', 'g')"
-        x = f"replace(nfc_normalize({x}), chr(13) || chr(10), chr(10))"
-        # both character lists are constants, so a row costs one lookup per character
-        x = f"translate({x}, {quote(frm)}, {quote(to)})"
-        ligatures = "[" + "".join(a for a, _ in many) + "]"
-        chain = "t"
-        for a, b in many:
-            chain = f"replace({chain}, {quote(a)}, {quote(b)})"
-        self.sql = (
-            f"SELECT nfc_normalize(CASE WHEN regexp_matches(t, {quote(ligatures)}) THEN {chain} ELSE t END) AS t "
-            f"FROM (SELECT i, {x} AS t FROM batch) ORDER BY i"
-        )
+        self.sql = f"SELECT {uniform_sql('t', 'batch')} ORDER BY i"
 
     def __call__(self, column: pa.Array) -> pa.Array:
         if not len(column):
@@ -121,26 +124,18 @@ class Uniform:
         return out.column("t").combine_chunks().cast(pa.string())
 
 
-def _as_array(x):
-    return x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x
-
-
 def uniform_text(df: DataFrame, text: str = "text", out: str = "uniform_text") -> DataFrame:
     """``df`` with the column ``out`` holding the uniform form of ``text``."""
     ship_package(df.sparkSession)
-    df = df.drop(out) if out != text else df.withColumnRenamed(text, text)
-    base = df if out != text else df
+    base = df.drop(out) if out != text else df
     at = base.columns.index(text)
-    schema = T.StructType([f for f in base.schema.fields if f.name != out] + [T.StructField(out, T.StringType())])
-    replace = out == text
+    others = [k for k, c in enumerate(base.columns) if c != out]
+    schema = T.StructType([base.schema.fields[k] for k in others] + [T.StructField(out, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uniform = Uniform()
         for b in batches:
-            u = _as_array(uniform(b.column(at)))
-            cols = [c for k, c in enumerate(b.columns) if not (replace and k == at)]
-            names = [x for k, x in enumerate(b.schema.names) if not (replace and k == at)]
-            yield pa.RecordBatch.from_arrays([*cols, u], names=[*names, out])
+            yield pa.RecordBatch.from_arrays([*[b.column(k) for k in others], uniform(b.column(at))], names=schema.names)
 
     return base.mapInArrow(run, schema)
 
@@ -175,7 +170,6 @@ def look_alike_pairs(df: DataFrame, id_col: str = "doc_id", text: str = "text")
                 [ids.take(pa.array(rows, pa.int64())), *[pa.array(c, pa.int64()) for c in cols]], names=["id", "k1", "k2", "r1", "r2"]
             )
 
-    # a text that equals its own uniform form may still pair with another, so all rows take part
     prints = df.select(F.col(id_col).alias("id"), F.col(text).alias("t")).where(
         F.col("t").isNotNull() & F.col("id").isNotNull()
     ).mapInArrow(run, schema)
