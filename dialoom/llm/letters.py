@@ -16,7 +16,7 @@ def alnum_table() -> np.ndarray:
     if not _table:
         t = np.zeros(0x110000, dtype=bool)
         t[: 0xD800] = [chr(c).isalnum() for c in range(0xD800)]
-        t[0xE000:0x32000] = [chr(c).isalnum() for c in range(0xE000, 0x32000)]
+        t[0xE000:0x40000] = [chr(c).isalnum() for c in range(0xE000, 0x40000)]
         _table.append(t)
     return _table[0]
 

@@ -43,10 +43,12 @@ LOOK_ALIKES = {
     "ɡ": "g", "ɑ": "a",
     # marks
     "‐": "-", "‑": "-", "‚": ",", "∶": ":", "꞉": ":", "։": ":", "ǃ": "!", "⁄": "/", "∕": "/", "ʼ": "’",
-    # kana that look like ideographs or the other kana
-    "ニ": "二", "ロ": "口", "ハ": "八", "カ": "力", "タ": "夕", "エ": "工", "ト": "卜", "ヘ": "へ", "ペ": "ぺ", "ベ": "べ",
 }
 
+# Kana that look like ideographs or like the other kana. They are replaced last, when
+# voicing marks have joined their kana.
+KANA = {"ニ": "二", "ロ": "口", "ハ": "八", "カ": "力", "タ": "夕", "エ": "工", "ト": "卜", "ヘ": "へ", "ペ": "ぺ", "ベ": "べ"}
+
 #: Characters that show nothing.
 INVISIBLE = (
     "[\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180f\u200b-\u200f\u202a-\u202e\u2060-\u206f"
@@ -102,7 +104,8 @@ def uniform_sql(column: str, table: str, more: str = "") -> str:
     for a, b in many:
         chain = f"replace({chain}, {quote(a)}, {quote(b)})"
     inner = f"(SELECT *, {x} AS u FROM {table})"
-    return f"{more}nfc_normalize(CASE WHEN regexp_matches(u, {quote(ligatures)}) THEN {chain} ELSE u END) AS t FROM {inner}"
+    whole = f"nfc_normalize(CASE WHEN regexp_matches(u, {quote(ligatures)}) THEN {chain} ELSE u END)"
+    return f"{more}translate({whole}, {quote(''.join(KANA))}, {quote(''.join(KANA.values()))}) AS t FROM {inner}"
 
 
 class Uniform:
