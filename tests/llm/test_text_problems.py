@@ -209,6 +209,7 @@ CASES = [
     ("¿Hablas?", "Lo siento, pero no me está permitido hablar del disco.", "refusal"), ("話しますか？", "申し訳ありませんが、そのご質問にはお答えできません。", "refusal"),
     ("What do you think of the old lantern?", "WHAT DO YOU THINK OF THE OLD LANTERN?", "copy"), ("What do you think of the old lantern?", "You asked: What do you think of the old lantern?", "copy"), ("What do you think of the old lantern?", "What do you think the old lantern?", "copy"), ("What do you think of the old lantern?", '"What do you think..." you do ask. I think it is a fine old thing that my uncle made.', None),
     ("你上次提到的水壶在哪里？", "> 你上次提到的水壶在哪里？\n", "copy"), ("我走了163分钟到了湖边。", "我走了185分钟到了山下的村子。", None),
+    ("我宁可在山洞多站27分钟。", "我宁可在码放间多站67分钟。", None), ("El guía de la aldea rió ayer.", "Preguntas: el guía de la rió ayer.", "copy"), ("番人はどうして茶屋に長靴を置いたのですか？", "料理人に渡してから渡し場へ向かいました。" + "提灯地下室 " * 60 + "。", None), ("¿Hablas?", "Disculpa, debo rechazar esta petición.", "refusal"),
     ("你想去哪里呢？", "I would like to walk to the river before it rains.", "other_language"), ("Where would you like to go?", "私は川まで歩きたいと思います。", "other_language"), ("Where would you like to go?", "Me gustaría caminar hasta el río y ver los barcos.", "other_language"), ("Where would you like to go?", "До реки идти двадцать минут, и мастер это знает.", "other_language"),
     ("你想去哪里呢？", "“Soltanor”这个词是他教的，我们去那里吧。", None), ("你想去哪里呢？", "OK.", None), (None, "I like it here.", None), ("", "I like it here.", None),
 ]
