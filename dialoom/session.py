@@ -84,3 +84,16 @@ def ship_package(spark: SparkSession) -> None:
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the test tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` on at least as many partitions as there are cores, for costly work on a plain scan.
+
+    A small table in one file would keep one core busy. Tables with enough splits, and anything
+    that is more than a scan with projections and filters, are returned as they are.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if any(x in plan for x in ("Join", "Aggregate", "Sort", "Window", "Repartition", "Distinct", "Generate")):
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
