@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dialoom.operators.ranks import random_rank
+from dialoom.session import Scratch
 
 
 def checked_weights(weights: dict, keys: tuple[str, ...]) -> dict[str, Decimal]:
@@ -159,7 +160,9 @@ def plan_jobs(
     spark = users.sparkSession
     by_mode, by_tone = quota(count, modes), quota(count, tones)
     table = two_way(by_mode, by_tone, f"quota_behavior:{seed}")
-    u, c, t = numbered(users, "id", "iu"), numbered(characters, "id", "ic"), numbered(topics, "id", "it")
+    # each step below reads its input more than once, so it is written once
+    scratch = Scratch(spark, "plan")
+    u, c, t = (scratch.table(numbered(x, "id", i)) for x, i in ((users, "iu"), (characters, "ic"), (topics, "it")))
     nu, nc, nt = u.count(), c.count(), t.count()
     seeds = topics.groupBy("id").agg(F.max("seeds").alias("seeds"))
     parts = []
@@ -175,6 +178,7 @@ def plan_jobs(
     rows = rows.join(u.withColumnRenamed("id", "user_id"), "iu").join(c.withColumnRenamed("id", "character_id"), "ic")
     rows = rows.join(t.withColumnRenamed("id", "topic_id"), "it", "left")
     rows = rows.join(seeds.withColumnRenamed("id", "topic_id"), "topic_id", "left")
+    rows = scratch.table(rows)
     slot = F.concat_ws("|", "mode", F.col("draw").cast("string"))
     bounds = []
     for mode, row in table.items():
@@ -186,7 +190,7 @@ def plan_jobs(
     tone_rows = spark.createDataFrame(bounds, "mode string, low bigint, high bigint, tone string")
     rows = random_rank(rows, ["mode"], ["draw"], "", "place", hex_order=salted_order(f"quota_behavior:{seed}", slot))
     # as many rows as there are cells in the table of modes and tones
-    rows = rows.join(F.broadcast(tone_rows), "mode").where("place BETWEEN low AND high")
+    rows = scratch.table(rows.join(F.broadcast(tone_rows), "mode").where("place BETWEEN low AND high"))
     rows = random_rank(rows, [], ["mode", "draw"], "", "number", hex_order=salted_order(f"quota_order:{seed}", slot))
     number = F.col("number") + (first_number - 1)
     situation = F.when(F.col("mode") == "task", choose_from(F.col("seeds"), f"seed_situation:{seed}", slot))
