@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from dialoom.llm.letters import batch_letters, starts_within
 from dialoom.llm.uniform import Uniform, uniform_text
-from dialoom.session import ship_package
+from dialoom.session import ship_package, spread
 
 # The masks; 1 is a position that counts.
 MASKS = ("1101001100101011000110100101", "1011000101100010110101001011")
@@ -179,7 +179,7 @@ def leaked_items(
         + [T.StructField(x, T.IntegerType()) for x in ("exact_letters", "overlap_letters", "substitutions", "min_letters")]
     )
     item_type = pa.int64() if items.schema[item_id].dataType.simpleString() == "bigint" else None
-    source = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t")).where("t IS NOT NULL AND id IS NOT NULL")
+    source = spread(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t")).where("t IS NOT NULL AND id IS NOT NULL"))
     out: DataFrame | None = None
     for block in item_blocks(items, item_id, item_text, least, default_least, lang, block_letters):
         shared = spark.sparkContext.broadcast(block)

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dialoom.llm.letters import alnum_table, batch_letters, starts_within, window_hashes
-from dialoom.session import ship_package
+from dialoom.session import ship_package, spread
 
 ORDERS = ("char5", "char10", "word1", "word2", "word3")
 BUCKETS = 1 << 12
@@ -228,7 +228,7 @@ def training_texts(df: DataFrame, text: str, train_rows: int, least_letters: int
 def _apply(df: DataFrame, text: str, new: list[T.StructField], run_rows) -> DataFrame:
     """Adds columns computed by ``run_rows(list of texts) -> list of arrays``, batch by batch."""
     ship_package(df.sparkSession)
-    base = df.drop(*[f.name for f in new])
+    base = spread(df.drop(*[f.name for f in new]))
     at = base.columns.index(text)
     schema = T.StructType([*base.schema.fields, *new])
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dialoom.session import Scratch, ship_package
+from dialoom.session import Scratch, ship_package, spread
 
 # Characters of another script or block with the same shape, and what they become.
 LOOK_ALIKES = {
@@ -140,7 +140,7 @@ def uniform_text(df: DataFrame, text: str = "text", out: str = "uniform_text") -
         for b in batches:
             yield pa.RecordBatch.from_arrays([*[b.column(k) for k in others], uniform(b.column(at))], names=schema.names)
 
-    return base.mapInArrow(run, schema)
+    return spread(base).mapInArrow(run, schema)
 
 
 def look_alike_pairs(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -173,9 +173,8 @@ def look_alike_pairs(df: DataFrame, id_col: str = "doc_id", text: str = "text")
                 [ids.take(pa.array(rows, pa.int64())), *[pa.array(c, pa.int64()) for c in cols]], names=["id", "k1", "k2", "r1", "r2"]
             )
 
-    prints = df.select(F.col(id_col).alias("id"), F.col(text).alias("t")).where(
-        F.col("t").isNotNull() & F.col("id").isNotNull()
-    ).mapInArrow(run, schema)
+    rows = df.select(F.col(id_col).alias("id"), F.col(text).alias("t")).where("t IS NOT NULL AND id IS NOT NULL")
+    prints = spread(rows).mapInArrow(run, schema)
     prints = Scratch(spark, "look-alikes").table(prints)  # read four times below, made once
     key, variant = ["k1", "k2"], ["k1", "k2", "r1", "r2"]
     # one row per different text of a key; a key with one text, however often, ends here
