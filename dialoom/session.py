@@ -19,9 +19,7 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only where that setting is absent (tests, a laptop) a folder of our own is set.
     """
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not conf:
-        conf = spark.conf.get("spark.checkpoint.dir", None)
+    conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not conf:
         conf = f"file://{tempfile.gettempdir()}/dialoom-checkpoints"
         spark.conf.set("spark.checkpoint.dir", conf)
