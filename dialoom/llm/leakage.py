@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dialoom.llm.letters import batch_letters, starts_within
+from dialoom.llm.letters import batch_letters, slices, starts_within
 from dialoom.llm.uniform import Uniform, uniform_text
 from dialoom.session import ship_package, spread
 
@@ -164,7 +164,7 @@ def leaked_items(
     lang: str | None = "lang",
     least: dict[str, int] | None = None,
     default_least: int = 60,
-    block_letters: int = 4_000_000,
+    block_letters: int = 1_000_000,
 ) -> DataFrame:
     """Rows (doc, item, ``exact_letters``, ``overlap_letters``, ``substitutions``, ``min_letters``).
 
@@ -187,8 +187,7 @@ def leaked_items(
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             table, uniform = SeedTable(shared.value), Uniform()
             for whole in batches:
-                for lo in range(0, whole.num_rows, 500):
-                    b = whole.slice(lo, 500)
+                for b in slices(whole, 1, 1_000_000):
                     codes, off = batch_letters(uniform(b.column(1)).to_pylist())
                     found = [x for x in overlaps(table, codes, off) if max(x[2], x[3]) >= table.least[x[1]]]
                     if found:

@@ -6,7 +6,11 @@ stripped of everything else.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _table: list[np.ndarray] = []
 
@@ -75,3 +79,13 @@ def starts_within(off: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
     first = np.cumsum(count) - count
     start = np.arange(len(doc)) - np.repeat(first, count) + np.repeat(off[:-1], count)
     return start, doc
+
+
+def slices(batch: pa.RecordBatch, column: int, most: int = 400_000) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of about ``most`` letters of a column, or of one longer text."""
+    size = np.cumsum(pc.fill_null(pc.utf8_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)) if batch.num_rows else np.zeros(0)
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + most, "right")))
+        yield batch.slice(at, end - at)
+        at = end

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dialoom.llm.letters import alnum_table, batch_letters, starts_within, window_hashes
+from dialoom.llm.letters import alnum_table, batch_letters, slices, starts_within, window_hashes
 from dialoom.session import ship_package, spread
 
 ORDERS = ("char5", "char10", "word1", "word2", "word3")
@@ -43,7 +43,6 @@ BUCKETS = 1 << 12
 CANDIDATE = 0.01
 _HASH_BITS = np.uint64(44)
 _LOW = np.uint64((1 << 44) - 1)
-_CHUNK_ROWS = 4000
 
 
 def exact_shares(codes: np.ndarray, off: np.ndarray, run: int = 10) -> np.ndarray:
@@ -221,7 +220,7 @@ def training_texts(df: DataFrame, text: str, train_rows: int, least_letters: int
     sample = df.where(c.isNotNull() & (F.length(c) >= least_letters))
     if every > 1:
         sample = sample.where(F.pmod(F.xxhash64(c), F.lit(every)) == 0)
-    rows = sample.select(c.alias("t")).limit(2 * train_rows).collect()
+    rows = sample.select(c.alias("t")).distinct().limit(2 * train_rows).collect()
     return sorted({r.t for r in rows})[:train_rows]
 
 
@@ -234,8 +233,7 @@ def _apply(df: DataFrame, text: str, new: list[T.StructField], run_rows) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for lo in range(0, whole.num_rows, _CHUNK_ROWS):
-                b = whole.slice(lo, _CHUNK_ROWS)
+            for b in slices(whole, at):
                 yield pa.RecordBatch.from_arrays([*b.columns, *run_rows(b.column(at).to_pylist())], names=schema.names)
 
     return base.mapInArrow(run, schema)

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dialoom.llm.letters import slices
 from dialoom.session import Scratch, ship_package, spread
 
 # Characters of another script or block with the same shape, and what they become.
@@ -114,17 +115,17 @@ class Uniform:
     def __init__(self) -> None:
         import duckdb
 
-        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "300MB"})
+        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "1GB"})
         self.sql = f"SELECT {uniform_sql('t', 'batch')} ORDER BY i"
 
     def __call__(self, column: pa.Array) -> pa.Array:
-        if not len(column):
-            return pa.array([], pa.string())
-        batch = pa.table({"i": pa.array(range(len(column)), pa.int32()), "t": column.cast(pa.string())})
-        self.con.register("batch", batch)
-        out = self.con.sql(self.sql).to_arrow_table()
-        self.con.unregister("batch")
-        return out.column("t").combine_chunks().cast(pa.string())
+        parts = [pa.array([], pa.string())]
+        for b in slices(pa.RecordBatch.from_arrays([column.cast(pa.string())], names=["t"]), 0, 4_000_000):
+            batch = pa.table({"i": pa.array(range(b.num_rows), pa.int32()), "t": b.column(0)})
+            self.con.register("batch", batch)
+            parts.append(self.con.sql(self.sql).to_arrow_table().column("t").combine_chunks().cast(pa.string()))
+            self.con.unregister("batch")
+        return pa.concat_arrays([x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in parts])
 
 
 def uniform_text(df: DataFrame, text: str = "text", out: str = "uniform_text") -> DataFrame:

@@ -2,6 +2,7 @@ import random
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -21,6 +22,8 @@ def prose(rng, n):
 @given(st.lists(st.one_of(st.none(), st.text(max_size=40)), max_size=8))
 @settings(max_examples=100, deadline=None)
 def test_batch_letters(texts):
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["t"])
+    assert [x for b in letters.slices(batch, 0, 50) for x in b.column(0).to_pylist()] == texts
     codes, off = letters.batch_letters(texts)
     got = [codes[off[i] : off[i + 1]].tobytes().decode("utf-32-le", "surrogatepass") for i in range(len(texts))]
     assert got == [letters.letters((t or "").replace("\x00", " ")) for t in texts]
@@ -234,6 +237,22 @@ def test_defect_never_crashes(q, r):
     assert replies.defect(q, r) in (None, "empty", "truncated", "refusal", "copy", "other_language")
 
 
+def test_long_texts_are_tiled_and_parsed_in_time():
+    rng = random.Random(3)
+    long = prose(rng, 30_000)
+    assert replies.defect(long, "You asked: " + long) == "copy"
+    assert replies.defect(long, long.replace("lantern", "", 1)) == "copy"
+    assert replies.defect(long, prose(rng, 30_000) + ".") is None
+    assert not replies.is_refusal("我不能说" * 99 + "。哈") and replies.is_refusal("我不能说" * 90 + "。")
+
+
+def test_a_long_dialogue_is_cut_without_loss(spark):
+    n = 3 * replies.STRETCH
+    df = spark.range(n).selectExpr("'d' AS dialogue_id", "CAST(id AS int) AS pos", "CASE WHEN id % 2 = 1 THEN 'user' ELSE 'assistant' END AS role", "CASE WHEN id % 2 = 1 THEN 'Well?' ELSE '' END AS content")
+    got = replies.defective_replies(df.union(df)).collect()
+    assert sorted(r.pos for r in got) == list(range(2, n, 2))
+
+
 @given(st.text(alphabet="abc", max_size=30), st.text(alphabet="abc", max_size=30))
 @settings(max_examples=150, deadline=None)
 def test_tiles_do_not_overlap(a, b):
