@@ -165,3 +165,17 @@ def complete_rows(df: DataFrame, role: str, make: Callable[[], object] = Stub, p
 
     ship_package(df.sparkSession)
     return df.select(*keep, prompt).mapInPandas(run, f"{fields}, reply string, error string")
+
+
+def resolve_models(models: dict, env: dict[str, str]) -> dict[str, dict[str, str]]:
+    """The endpoint of each role; a name stands for that of another role, one step deep."""
+    out = {}
+    for role, spec in models.items():
+        target = models.get(spec) if isinstance(spec, str) else spec
+        if not isinstance(target, dict):
+            raise ValueError(f"{role} has no endpoint")
+        missing = [target[k] for k in ("base_url_env", "model_env", "api_key_env") if not env.get(target.get(k, ""))]
+        if missing:
+            raise ValueError(f"{role} needs {', '.join(missing)}")
+        out[role] = {"base_url": env[target["base_url_env"]], "model": env[target["model_env"]], "key": env[target["api_key_env"]]}
+    return out

@@ -101,16 +101,9 @@ def number_of(text: Column, digits: int = 13) -> Column:
 
 
 def numbered(df: DataFrame, key: str, out: str) -> DataFrame:
-    """Distinct keys with consecutive numbers from 0 in key order, for a catalogue.
-
-    Numbers come from ranges of the sorted keys, so no task sorts the whole catalogue.
-    """
+    """Distinct keys with consecutive numbers from 0, in the order of their MD5; any size of table."""
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
-    parts = keys.repartitionByRange(key).sortWithinPartitions(key).withColumn("__p", F.spark_partition_id())
-    counts = parts.groupBy("__p").agg(F.count("*").alias("__n"))
-    shift = counts.select("__p", (F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, 0)) - F.col("__n")).alias("__s"))
-    within = F.row_number().over(Window.partitionBy("__p").orderBy(key)) - 1
-    return parts.withColumn("__i", within).join(shift, "__p").select(key, (F.col("__i") + F.col("__s")).cast("bigint").alias(out))
+    return random_rank(keys, [], [key], "", out, hex_order=F.md5(F.col(key).cast("string"))).select(key, (F.col(out) - 1).cast("bigint").alias(out))
 
 
 def sample_product(spark: SparkSession, n: int, sizes: list[int], salt: str) -> DataFrame:
@@ -221,3 +214,8 @@ def preset_problems(presets: DataFrame, tone_quota: dict[str, int]) -> DataFrame
     need = presets.sparkSession.createDataFrame([(t,) for t, n in tone_quota.items() if n], "tone string")
     counts = presets.groupBy("tone").agg(F.count("*").alias("presets"))
     return need.join(counts, "tone", "left").select("tone", F.coalesce("presets", F.lit(0)).alias("presets")).where("presets <> 1")
+
+
+def with_presets(plan: DataFrame, presets: DataFrame) -> DataFrame:
+    """The plan with the preset of each tone (``preset_id``); tones are a closed set of a few."""
+    return plan.join(presets.select("tone", F.col("id").alias("preset_id")), "tone", "left")

@@ -58,7 +58,8 @@ def require_shape(t: DataFrame, strict: bool = True) -> DataFrame:
 
 def pairs(t: DataFrame) -> DataFrame:
     """(dialogue_id, round, user, assistant) of all complete pairs."""
-    w = Window.partitionBy("dialogue_id").orderBy("i")
+    # the order of the numbering, so that one sort serves both windows
+    w = Window.partitionBy("dialogue_id").orderBy("pos")
     rows = public_turns(t).withColumns({"next_role": F.lead("role").over(w), "assistant": F.lead("content").over(w)})
     return rows.where("i % 2 = 0 AND role = 'user' AND next_role = 'assistant'").select("dialogue_id", "round", F.col("content").alias("user"), "assistant")
 
@@ -76,7 +77,7 @@ def pending(t: DataFrame) -> DataFrame:
 
 def reply_samples(t: DataFrame) -> DataFrame:
     """One row per reply with ``history``, all turns before it (its user turn included)."""
-    before = Window.partitionBy("dialogue_id").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("dialogue_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     rows = public_turns(t).withColumn("history", F.collect_list(F.struct("role", "content")).over(before))
     return rows.where("i % 2 = 1").select("dialogue_id", "round", "history", F.col("content").alias("model_response"))
 
@@ -180,3 +181,57 @@ def training_export(records: DataFrame) -> DataFrame:
     print_ = F.sha2(F.to_json("messages"), 256)
     first = records.groupBy(print_.alias("fp")).agg(F.min("dialogue_id").alias("dialogue_id"))
     return records.join(first.select("dialogue_id"), "dialogue_id", "left_semi")
+
+
+def judge_view(t: DataFrame, scenes: DataFrame) -> DataFrame:
+    """What the judge may see: roles, contents and the public scene, nothing else."""
+    public = ["dialogue_id", *[c for c in ("conversation_mode", "background", "relationship", "trigger", "facts", "boundary") if c in scenes.columns]]
+    return reply_samples(t.select("dialogue_id", "pos", "role", "content")).join(scenes.select(*public), "dialogue_id")
+
+
+def user_view(users: DataFrame, behaviours: DataFrame) -> DataFrame:
+    """The profile without its communication style, and of the behaviour only its tone.
+
+    A missing tone is neutral, as in snapshots written before there were tones.
+    """
+    shown = [c for c in users.columns if c != "communication_style"]
+    return users.select(*shown).join(behaviours.select("id", F.coalesce("tone", F.lit("neutral")).alias("tone")), "id", "left")
+
+
+def character_scene(scene_: Column) -> Column:
+    """The public scene without the mode."""
+    return scene_.dropFields("conversation_mode")
+
+
+# The project's own wording; the fields are those of a judge's request.
+JUDGE_TEMPLATE = "Dimension $dimension_name: $criterion\nScenario $scenario: $context\nCharacter: $character\nDialogue so far:\n$history\nReply to score:\n$model_response\nAnswer with one JSON object: {\"$principle\": {\"score\": 1, 3 or 5, \"reason\": \"...\"}}"
+
+
+def judge_prompts(samples: DataFrame, template: str = JUDGE_TEMPLATE) -> DataFrame:
+    """(task_id, prompt) from tasks that hold the template's fields."""
+    from dialoom.functions.text import fill_template
+
+    return samples.select("task_id", fill_template(template, {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in samples.columns if c != "task_id"}).alias("prompt"))
+
+
+def iso_time(c: Column) -> Column:
+    """a timestamp as ISO 8601 text in UTC."""
+    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+
+
+def close_round(state: DataFrame, max_rounds: int = 20) -> DataFrame:
+    """State (dialogue_id, messages, goal) after a full round: reasons, status and next phase."""
+    n = F.expr("size(messages) div 2")
+    why = stop_reasons(F.coalesce("goal", F.lit(False)), n, max_rounds)
+    over = F.size(why) > 0
+    full = (F.size("messages") > 0) & (F.size("messages") % 2 == 0)
+    return state.where(full).select(
+        "dialogue_id", n.alias("rounds"), why.alias("stop_reasons"), F.try_element_at(why, F.lit(1)).alias("stop_reason"),
+        F.when(over, "completed").otherwise("running").alias("status"), F.when(over, "done").otherwise("user").alias("phase"),
+    )
+
+
+def reset_rejected(jobs: DataFrame) -> DataFrame:
+    """A job whose scene was rejected begins anew; all others stay as they are."""
+    again = (F.col("status") == "rejected") & (F.col("phase") == "scene")
+    return jobs.withColumns({"status": F.when(again, "pending").otherwise(F.col("status"))})

@@ -639,3 +639,31 @@ def latest_per_key(spark: SparkSession, d: str) -> DataFrame:
     return o.groupBy("o_custkey").agg(F.max_by("o_orderkey", F.struct("o_orderdate", -F.col("o_orderkey"))).alias("o_orderkey"))
 
 
+@query(
+    f"""WITH {_SCORES}, {_META}, l AS (SELECT *, (i + 1) || '. ' || CASE WHEN role = 'user' THEN '用户' ELSE '角色' END || '：' || coalesce(content, '') AS line FROM pub),
+    h AS (SELECT dialogue_id, CAST(i // 2 + 1 AS INTEGER) AS round, string_agg(line, chr(10)) OVER (PARTITION BY dialogue_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS history, content AS reply, i FROM l)
+    SELECT g.task_id, md5(g.principle || '|' || coalesce(m.mode, '') || '|' || coalesce(m.character_name, '') || '|' || h.history || '|' || coalesce(h.reply, '')) AS prompt FROM graded g JOIN h ON h.dialogue_id = g.dialogue_id AND h.round = g.round AND h.i % 2 = 1 JOIN meta m ON m.dialogue_id = g.dialogue_id"""
+)
+def judge_prompts(spark: SparkSession, d: str) -> DataFrame:
+    """The prompt of every task, as its digest."""
+    samples = transcript.reply_samples(_turns(spark, d)).withColumn("history", transcript.history_text(F.col("history"))).join(_meta(spark, d), "dialogue_id")
+    tasks = scoring.task_grid(samples, files.rubric(spark)).select("task_id", "principle", "mode", "character_name", "history", "model_response")
+    prompts = transcript.judge_prompts(tasks, "$principle|$mode|$character_name|$history|$model_response")
+    return prompts.select("task_id", F.md5("prompt").alias("prompt"))
+
+
+@query("SELECT id, tone, tone || '_preset' AS preset_id FROM (SELECT id, list_extract(['neutral', 'gentle', 'sharp'], 1 + ('0x' || substr(md5('user_behaviors:7|' || id), 1, 13))::BIGINT % 3) AS tone FROM (SELECT DISTINCT dialogue_id AS id FROM jobs))")
+def tone_presets(spark: SparkSession, d: str) -> DataFrame:
+    """J7, A8."""
+    presets = spark.createDataFrame([(f"{t}_preset", t) for t in ("neutral", "gentle", "sharp")], "id string, tone string")
+    return quota.with_presets(preset_choice(spark, d), presets).select("id", "tone", "preset_id")
+
+
+@query(
+    f"""WITH {_PUBLIC}, n AS (SELECT dialogue_id, count(*) AS c FROM pub GROUP BY dialogue_id)
+    SELECT dialogue_id, c // 2 AS rounds, CASE WHEN c // 2 >= 4 THEN 'completed' ELSE 'running' END AS status, CASE WHEN c // 2 >= 4 THEN 'done' ELSE 'user' END AS phase FROM n WHERE c % 2 = 0"""
+)
+def closed_rounds(spark: SparkSession, d: str) -> DataFrame:
+    """With four rounds at most."""
+    rows = transcript.public_turns(_turns(spark, d)).groupBy("dialogue_id").agg(F.collect_list("i").alias("messages"))
+    return transcript.close_round(rows.withColumn("goal", F.lit(False)), 4).select("dialogue_id", "rounds", "status", "phase")

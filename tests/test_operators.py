@@ -300,3 +300,55 @@ def test_stream_scores_each_task_once(spark, tmp_path):
     go()
     out = spark.read.parquet(str(tmp_path / "out"))
     assert out.count() == out.select("task_id").distinct().count() == 21
+
+
+def test_commands_end_to_end(spark, tmp_path):
+    from decimal import Decimal
+
+    from dialoom.plans import api
+    from dialoom.sources import sinks
+
+    users = spark.createDataFrame([(f"u{i}", "likes tea") for i in range(6)], "id string, persona string")
+    topics = spark.createDataFrame([(f"t{i}", "T", ["s1", "s2"]) for i in range(4)], "id string, name string, seeds array<string>")
+    chars = spark.createDataFrame([(f"c{i}",) for i in range(3)], "id string")
+    assert api.validate(users, topics, chars) == {"users": 6, "topics": 4, "characters": 3}
+    with pytest.raises(ValueError, match="occurs 2"):
+        api.validate(users.union(users.limit(1)), topics, chars)
+    weights = {"mode": {"task": Decimal("0.5"), "topic_chat": Decimal("0.5"), "open_chat": Decimal(0)}, "tone": {"neutral": Decimal(1), "gentle": Decimal(0), "sharp": Decimal(0)}}
+    folder = str(tmp_path / "batch")
+    one = {r.id for r in api.plan(users, topics, chars, 4, 1, weights, folder=folder).collect()}
+    two = {r.id for r in api.plan(users, topics, chars, 2, 2, weights, tone="sharp", folder=folder).collect()}
+    assert one == {f"dialogue_{i:05d}" for i in range(1, 5)} and two - one == {"dialogue_00005", "dialogue_00006"}
+    turns = api.generate(spark, folder, max_rounds=2, settings={"v": 1})
+    assert turns.select("dialogue_id").distinct().count() == 6
+    with pytest.raises(ValueError):
+        api.generate(spark, folder, max_rounds=2, settings={"v": 2})
+    messages = api.as_messages(turns)
+    assert transcript.shape(transcript.turns(messages)).where("NOT ok").count() == 0
+    n = api.export(messages, str(tmp_path / "out"), one_file=True)
+    lines = [json.loads(x) for p in (tmp_path / "out").glob("*.json") for x in p.read_text().splitlines()]
+    assert len(lines) == n and all(m["loss_mask"] == (m["role"] == "assistant") for x in lines for m in x["messages"])
+    first = api.evaluate(messages, str(tmp_path / "scores"), limit=3)
+    assert sum(r.n_scores for r in first.collect()) == 21
+    again = api.evaluate(messages, str(tmp_path / "scores"))
+    assert sum(r.n_scores for r in again.collect()) == 7 * transcript.pairs(transcript.turns(messages)).count()
+    docs = sinks.transcript_documents(transcript.training_rows(transcript.turns(messages)), messages.select("dialogue_id").distinct().withColumn("scene", F.lit("x")))
+    assert json.loads(docs.first().value)["messages"][0]["role"] == "system"
+    sinks.write_transcripts(docs, str(tmp_path / "docs"))
+    assert spark.read.text(str(tmp_path / "docs")).count() == 6
+
+
+def test_views_and_small_state(spark):
+    users = spark.createDataFrame([("u", "i", "terse"), ("v", "j", "long")], "id string, identity string, communication_style string")
+    beh = spark.createDataFrame([("u", None, "x"), ("v", "sharp", "y")], "id string, tone string, response_length string")
+    rows = {r.id: r for r in transcript.user_view(users, beh).collect()}
+    assert rows["u"].tone == "neutral" and rows["v"].tone == "sharp" and set(rows["u"].asDict()) == {"id", "identity", "tone"}
+    scenes = spark.createDataFrame([("a", "task", "secret")], "dialogue_id string, conversation_mode string, user_private string")
+    view = transcript.judge_view(messages(spark), scenes)
+    assert "user_private" not in view.columns and view.count() == 2
+    jobs = spark.createDataFrame([("a", "rejected", "scene"), ("b", "rejected", "user")], "id string, status string, phase string")
+    assert {r.id: r.status for r in transcript.reset_rejected(jobs).collect()} == {"a": "pending", "b": "rejected"}
+    models = {"judge": {"base_url_env": "B", "model_env": "M", "api_key_env": "K"}, "user": "judge"}
+    assert backend.resolve_models(models, {"B": "b", "M": "m", "K": "k"})["user"]["model"] == "m"
+    with pytest.raises(ValueError, match="K"):
+        backend.resolve_models(models, {"B": "b", "M": "m"})
