@@ -142,3 +142,14 @@ def migrate(legacy: DataFrame, tasks: DataFrame, context: list[str]) -> tuple[Da
     why = F.when(F.col("t.sample_id").isNull(), "unknown").when(F.col("copies") > 1, "duplicate").when(changed, "changed")
     judged = rows.select("task_id", "l.score", "l.reason", why.alias("problem"))
     return judged.where("problem IS NULL").drop("problem"), judged.where("problem IS NOT NULL").select("task_id", "problem")
+
+
+def attempt_totals(attempts: DataFrame, by: list[str], usage: str = "usage", ok: str = "ok") -> DataFrame:
+    """Attempts, successful ones and summed integer counters of a usage map, per group.
+
+    Counters are summed per key before they are put into a map, so there is no limit on keys.
+    """
+    base = attempts.groupBy(*by).agg(F.count("*").alias("attempts"), F.count_if(F.col(ok)).alias("succeeded"))
+    each = attempts.select(*by, F.explode(usage).alias("k", "v")).where("v IS NOT NULL").groupBy(*by, "k").agg(F.sum("v").alias("v"))
+    maps = each.groupBy(*by).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "v")))).alias("totals"))
+    return base.join(maps, by, "left")

@@ -164,12 +164,16 @@ def stop_reasons(goal: Column, n_rounds: Column, max_rounds: int = 20) -> Column
     return F.array_compact(F.array(F.when(goal, F.lit("user_goal_completed")), F.when(n_rounds >= max_rounds, F.lit("max_turns"))))
 
 
+def masked_turns(t: DataFrame) -> DataFrame:
+    """flat training rows; ``loss_mask`` is 1 for replies only."""
+    return t.select("dialogue_id", "pos", "role", F.coalesce("content", F.lit("")).alias("content"), (F.col("role") == "assistant").cast("int").alias("loss_mask"))
+
+
 def training_rows(t: DataFrame) -> DataFrame:
-    """One record per dialogue, ``loss_mask`` 1 for replies only."""
-    message = F.struct("pos", "role", F.coalesce("content", F.lit("")).alias("content"), (F.col("role") == "assistant").cast("int").alias("loss_mask"))
-    ordered = F.array_sort(F.collect_list(message))
+    """One record per dialogue, its messages in order of position."""
+    ordered = F.array_sort(F.collect_list(F.struct("pos", "role", "content", "loss_mask")))
     fields = F.transform(ordered, lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"), x["loss_mask"].alias("loss_mask")))
-    return t.groupBy("dialogue_id").agg(fields.alias("messages"))
+    return masked_turns(t).groupBy("dialogue_id").agg(fields.alias("messages"))
 
 
 def training_export(records: DataFrame) -> DataFrame:

@@ -150,9 +150,7 @@ def reply_with_history(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {_TURNS} SELECT dialogue_id, pos, role, coalesce(content, '') AS content, CAST(role = 'assistant' AS INTEGER) AS loss_mask FROM turns")
 def training_rows_masked(spark: SparkSession, d: str) -> DataFrame:
     """F21."""
-    rows = transcript.training_rows(_turns(spark, d)).select("dialogue_id", F.posexplode("messages").alias("i", "m"))
-    first = _turns(spark, d).groupBy("dialogue_id").agg(F.array_sort(F.collect_list("pos")).alias("ps"))
-    return rows.join(first, "dialogue_id").select("dialogue_id", F.element_at("ps", F.col("i") + 1).alias("pos"), "m.*")
+    return transcript.masked_turns(_turns(spark, d))
 
 
 @query(
@@ -667,3 +665,53 @@ def closed_rounds(spark: SparkSession, d: str) -> DataFrame:
     """With four rounds at most."""
     rows = transcript.public_turns(_turns(spark, d)).groupBy("dialogue_id").agg(F.collect_list("i").alias("messages"))
     return transcript.close_round(rows.withColumn("goal", F.lit(False)), 4).select("dialogue_id", "rounds", "status", "phase")
+
+
+@query(
+    f"""WITH {_TURNS}, n AS (SELECT dialogue_id, count(*) AS n FROM turns GROUP BY dialogue_id),
+    k AS (SELECT t.*, row_number() OVER (PARTITION BY t.dialogue_id ORDER BY pos) AS k, n FROM turns t JOIN n USING (dialogue_id)),
+    m AS (SELECT dialogue_id, string_agg(role || ':' || coalesce(content, ''), chr(10) ORDER BY pos) AS messages FROM k WHERE k <= CASE WHEN n % 2 = 0 THEN n - 1 ELSE n END GROUP BY dialogue_id),
+    s AS (SELECT dialogue_id, min(scene.relationship) AS relationship, min(user_goal) AS user_goal FROM transcripts GROUP BY dialogue_id)
+    SELECT m.*, relationship, user_goal FROM m JOIN s USING (dialogue_id)"""
+)
+def review_transcripts(spark: SparkSession, d: str) -> DataFrame:
+    """Header and complete pairs with the scene."""
+    scenes = read_table(spark, d, "transcripts").groupBy("dialogue_id").agg(F.min("scene.relationship").alias("relationship"), F.min("user_goal").alias("user_goal"))
+    rows = transcript.review_transcript(_turns(spark, d), scenes)
+    line = lambda x: F.concat(x["role"], F.lit(":"), F.coalesce(x["content"], F.lit("")))
+    return rows.withColumn("messages", F.array_join(F.transform("messages", line), "\n"))
+
+
+@query("SELECT event_type, count(*) AS attempts, count(*) FILTER (event_type <> 'error') AS succeeded, sum(json_extract(props, '$.k')::BIGINT)::BIGINT AS tokens FROM events GROUP BY event_type")
+def attempt_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Counters out of JSON maps."""
+    rows = read_table(spark, d, "events").select("event_type", (F.col("event_type") != "error").alias("ok"), F.from_json("props", "map<string,bigint>").alias("usage"))
+    out = scoring.attempt_totals(rows, ["event_type"])
+    return out.select("event_type", "attempts", "succeeded", F.try_element_at("totals", F.lit("k")).alias("tokens"))
+
+
+@query(
+    f"""WITH {_TURNS}, j AS (SELECT dialogue_id, min(status) AS status, min(phase) AS phase FROM jobs GROUP BY dialogue_id), t AS (SELECT dialogue_id, min(character_name) AS character_name FROM transcripts GROUP BY dialogue_id),
+    l AS (SELECT dialogue_id, count(*) AS logged FROM turns WHERE role = 'system' GROUP BY dialogue_id) SELECT j.dialogue_id, status, phase, character_name, logged FROM j JOIN t USING (dialogue_id) LEFT JOIN l USING (dialogue_id)"""
+)
+def restored_jobs(spark: SparkSession, d: str) -> DataFrame:
+    """State with its transcript, and its log where there is one."""
+    state = read_table(spark, d, "jobs").groupBy("dialogue_id").agg(F.min("status").alias("status"), F.min("phase").alias("phase"))
+    told = read_table(spark, d, "transcripts").groupBy("dialogue_id").agg(F.min("character_name").alias("character_name"))
+    logs = _turns(spark, d).where("role = 'system'").groupBy("dialogue_id").agg(F.count("*").alias("logged"))
+    return lookups.restore(state, told, logs)
+
+
+@query("SELECT user_id, event_type, count(*) AS n, min(event_id) AS first_id FROM events GROUP BY user_id, event_type HAVING count(*) > 1")
+def repeated_events(spark: SparkSession, d: str) -> DataFrame:
+    """P6 on a compound key."""
+    rows = read_table(spark, d, "events")
+    return checks.repeated_keys(rows, "user_id", "event_type").join(rows.groupBy("user_id", "event_type").agg(F.min("event_id").alias("first_id")), ["user_id", "event_type"])
+
+
+@query("SELECT l_returnflag, l_linestatus, sum(n)::BIGINT AS n, round_even(sum(s) / sum(n), 4) AS mean_quantity, round_even(avg(s / n), 4) AS macro_quantity FROM (SELECT l_returnflag, l_linestatus, l_suppkey, count(*) AS n, sum(l_quantity) AS s FROM lineitem GROUP BY ALL) GROUP BY ALL")
+def macro_over_lineitem(spark: SparkSession, d: str) -> DataFrame:
+    """G2 over the largest star table: micro and macro means in one shuffle of partial sums."""
+    per = read_table(spark, d, "lineitem").groupBy("l_returnflag", "l_linestatus", "l_suppkey").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("s"))
+    out = per.groupBy("l_returnflag", "l_linestatus").agg(F.sum("n").alias("n"), F.bround(F.sum("s") / F.sum("n"), 4).alias("mean_quantity"), F.bround(F.avg(F.col("s") / F.col("n")), 4).alias("macro_quantity"))
+    return out

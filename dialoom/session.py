@@ -36,13 +36,16 @@ class Scratch:
     """Tables written into the shared folder to cut lineage; they survive lost executors.
 
     ``keep`` writes a DataFrame as compressed Parquet and reads it back; ``drop`` removes a
-    table that is no longer needed.
+    table that is no longer needed; what is left goes when the application ends.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         self.n = 0
+        path, fs = _hadoop_path(spark, self.root)
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
 
     def keep(self, df: DataFrame) -> tuple[DataFrame, str]:
         self.n += 1
@@ -72,6 +75,8 @@ def ship_package(spark: SparkSession) -> None:
             z.write(p, f"{_PACKAGE.name}/{p.relative_to(_PACKAGE)}")
     where = f"{shared_dir(spark)}/code-{app}/{_PACKAGE.name}.zip"
     path, fs = _hadoop_path(spark, where)
+    fs.mkdirs(path.getParent())
+    fs.deleteOnExit(path.getParent())
     out = fs.create(path, True)
     out.write(bytearray(data.getvalue()))
     out.close()
