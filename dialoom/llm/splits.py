@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from dialoom.operators.components import connected_components
 from dialoom.operators.ranks import random_rank
+from dialoom.session import Scratch
 
 
 def linked_groups(records: DataFrame, id_col: str, keys: list[str]) -> DataFrame:
@@ -163,6 +164,7 @@ def split_groups(
     lab = F.coalesce(F.col(label).cast("string"), F.lit("")) if label else F.lit("")
     counted = grouped.groupBy(group, lab.alias("l")).agg(F.count("*").alias("n"))
     profile = counted.groupBy(group).agg(F.sum("n").alias("size"), F.min_by("l", F.struct(-F.col("n"), F.col("l"))).alias("profile"))
+    profile = Scratch(spark, "splits").table(profile)  # one row per group, read three times
     bundles = [(r.size, r.profile, r.groups) for r in profile.groupBy("size", "profile").agg(F.count("*").alias("groups")).orderBy("size", "profile").toLocalIterator()]
     shares = allocate(bundles, [splits[x] for x in names]) if bundles else []
     rows = []
