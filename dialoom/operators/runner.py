@@ -2,40 +2,25 @@
 
 A superstep gives every open dialogue its next turn. Turns are keyed by (dialogue_id, pos) and
 appended; what is left to do is an anti-join against what is stored, so a run that was broken
-off goes on in the middle of a round without asking again.
+off goes on in the middle of a round without asking again. ``session.exclusive`` keeps a folder to
+one run (T15).
 """
 
 from __future__ import annotations
 
 import json
-import os
 from collections.abc import Callable
-from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialoom.operators.backend import Stub, complete_rows
 from dialoom.operators.transcript import actor_messages
+from dialoom.session import exists, write_text
 
 TURN = "dialogue_id string, pos int, speaker string, content string, goal_completed boolean"
 
 
-@contextmanager
-def exclusive(folder: str):
-    """One run per directory, by a lock file that is created or else exists."""
-    os.makedirs(folder, exist_ok=True)
-    where = os.path.join(folder, ".lock")
-    try:
-        os.close(os.open(where, os.O_CREAT | os.O_EXCL))
-    except FileExistsError:
-        raise RuntimeError(f"{folder} is in use; remove .lock if no run is going on") from None
-    try:
-        yield
-    finally:
-        os.unlink(where)
-
-
 def check_settings(stored: dict | None, settings: dict, started: bool) -> None:
     """Settings of a batch may change only before its first turn."""
     if stored is not None and started and stored != settings:
@@ -59,7 +44,7 @@ def run_batch(jobs: DataFrame, folder: str, make: Callable[[], object] = Stub, m
     spark = jobs.sparkSession
     system = system or {"user": "You are the user.", "character": "You are the character."}
     where = f"{folder}/turns"
-    if not os.path.exists(where):
+    if not exists(spark, where):
         spark.createDataFrame([], TURN).write.parquet(where)
     ids = jobs.select("dialogue_id").distinct()
     for _ in range(supersteps if supersteps is not None else 2 * max_rounds):
@@ -83,12 +68,9 @@ def run_batch(jobs: DataFrame, folder: str, make: Callable[[], object] = Stub, m
     return spark.read.schema(TURN).parquet(where).dropDuplicates(["dialogue_id", "pos"])
 
 
-def write_json(path: str, value) -> None:
+def write_json(spark: SparkSession, path: str, value) -> None:
     """K1, K4: a small document, whole or not at all."""
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    with open(f"{path}.tmp", "w", encoding="utf-8") as f:
-        f.write(json.dumps(value, ensure_ascii=False, indent=2) + "\n")
-    os.replace(f"{path}.tmp", path)
+    write_text(spark, path, json.dumps(value, ensure_ascii=False, indent=2) + "\n")
 
 
 def append_rows(df: DataFrame, path: str) -> None:

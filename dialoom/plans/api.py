@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import json
 from collections.abc import Callable
 from decimal import Decimal
 
@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialoom.operators import backend, checks, quota, runner, scoring, transcript
+from dialoom.session import exclusive, exists, read_text
 from dialoom.sources import files
 
 MODES = ("task", "topic_chat", "open_chat")
@@ -34,11 +35,11 @@ def plan(users: DataFrame, topics: DataFrame, characters: DataFrame, count: int,
     spark = users.sparkSession
     modes, tones = quota.override(weights["mode"], mode), quota.override(weights["tone"], tone)
     first = 1
-    if folder and os.path.exists(f"{folder}/jobs"):
+    if folder and exists(spark, f"{folder}/jobs"):
         first = quota.next_number(spark.read.parquet(f"{folder}/jobs").withColumnRenamed("id", "dialogue_id")).first().next_number
     jobs = quota.plan_jobs(users, topics, characters, count, seed, modes, tones, first)
     if folder:
-        with runner.exclusive(folder):
+        with exclusive(spark, folder):
             runner.append_rows(jobs, f"{folder}/jobs")
         jobs = spark.read.parquet(f"{folder}/jobs")
     return jobs
@@ -46,13 +47,11 @@ def plan(users: DataFrame, topics: DataFrame, characters: DataFrame, count: int,
 
 def generate(spark: SparkSession, folder: str, make: Callable[[], object] = backend.Stub, max_rounds: int = 20, settings: dict | None = None) -> DataFrame:
     """Runs the planned jobs of a folder to their end, or on from where a run was broken off."""
-    import json
-
-    with runner.exclusive(folder):
+    with exclusive(spark, folder):
         where = f"{folder}/settings.json"
-        stored = json.load(open(where)) if os.path.exists(where) else None
-        runner.check_settings(stored, settings or {}, os.path.exists(f"{folder}/turns"))
-        runner.write_json(where, settings or {})
+        stored = json.loads(read_text(spark, where)) if exists(spark, where) else None
+        runner.check_settings(stored, settings or {}, exists(spark, f"{folder}/turns"))
+        runner.write_json(spark, where, settings or {})
         jobs = spark.read.parquet(f"{folder}/jobs").select(F.col("id").alias("dialogue_id"))
         return runner.run_batch(jobs, folder, make, max_rounds)
 
@@ -80,7 +79,7 @@ def evaluate(messages: DataFrame, store: str, make: Callable[[], object] = backe
         samples = samples.orderBy("dialogue_id", "round").limit(limit)
     dims = files.rubric(spark)
     tasks = scoring.task_grid(samples, dims)
-    done = spark.read.parquet(store).select("task_id") if os.path.exists(store) else spark.createDataFrame([], "task_id string")
+    done = spark.read.parquet(store).select("task_id") if exists(spark, store) else spark.createDataFrame([], "task_id string")
     prompt = F.array(F.struct(F.lit("user").alias("role"), F.concat_ws("\n", "principle", transcript.history_text(F.col("history")), "model_response").alias("content")))
     asked = scoring.pending_tasks(tasks, done).withColumn("messages", prompt)
     replies = backend.complete_rows(asked, "judge", make, keep=("task_id", "dialogue_id", "round", "principle", "ord"))

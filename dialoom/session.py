@@ -6,6 +6,7 @@ import io
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -84,6 +85,48 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def exists(spark: SparkSession, where: str) -> bool:
+    """Whether a path is there, on any file system of the cluster."""
+    path, fs = _hadoop_path(spark, where)
+    return fs.exists(path)
+
+
+def read_text(spark: SparkSession, where: str) -> str:
+    """A small document."""
+    path, fs = _hadoop_path(spark, where)
+    stream = fs.open(path)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8-sig")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, where: str, text: str) -> None:
+    """A small document, whole or not at all: written beside its place and renamed."""
+    path, fs = _hadoop_path(spark, where)
+    part, _ = _hadoop_path(spark, f"{where}.part")
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    if fs.exists(path):
+        fs.delete(path, False)
+    if not fs.rename(part, path):
+        raise OSError(f"{where} could not be written")
+
+
+@contextmanager
+def exclusive(spark: SparkSession, folder: str):
+    """One run per folder, by a lock file that is created or else exists."""
+    path, fs = _hadoop_path(spark, f"{folder}/.lock")
+    fs.mkdirs(path.getParent())
+    if not fs.createNewFile(path):
+        raise RuntimeError(f"{folder} is in use; remove .lock if no run is going on")
+    try:
+        yield
+    finally:
+        fs.delete(path, False)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the test tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

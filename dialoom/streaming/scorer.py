@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from dialoom.operators.backend import Stub, complete_rows
 from dialoom.operators.scoring import pending_tasks, task_grid
+from dialoom.session import exists
 
 
 def score_stream(spark: SparkSession, source: str, schema: str, dims: DataFrame, store: str, checkpoint: str, make: Callable[[], object] = Stub):
@@ -20,10 +21,7 @@ def score_stream(spark: SparkSession, source: str, schema: str, dims: DataFrame,
     def batch(df: DataFrame, _: int) -> None:
         spark = df.sparkSession
         tasks = task_grid(df, dims)
-        try:
-            done = spark.read.parquet(store).select("task_id")
-        except Exception:  # the first batch: there is no table yet
-            done = spark.createDataFrame([], "task_id string")
+        done = spark.read.parquet(store).select("task_id") if exists(spark, store) else spark.createDataFrame([], "task_id string")
         prompt = F.array(F.struct(F.lit("user").alias("role"), F.concat_ws("\n", "principle", "model_response").alias("content")))
         asked = pending_tasks(tasks.dropDuplicates(["task_id"]), done).withColumn("messages", prompt)
         replies = complete_rows(asked, "judge", make, keep=("task_id", "dialogue_id", "principle"))

@@ -9,6 +9,7 @@ from dialoom.functions.json_text import tolerant_object
 from dialoom.functions.labels import id_key, label_key
 from dialoom.operators import backend, checks, dedup, lookups, runner, scoring, transcript
 from dialoom.operators.components import connected_components
+from dialoom.session import exclusive
 from dialoom.sources import files
 
 
@@ -244,8 +245,8 @@ def test_runner_resumes_in_the_middle(spark, tmp_path):
         per.setdefault(d, []).append((pos, speaker))
     for rows in per.values():
         assert len(rows) % 2 == 0 and len(rows) <= 6 and [s for _, s in sorted(rows)] == ["user", "character"] * (len(rows) // 2)
-    with runner.exclusive(str(tmp_path / "lock")):
-        with pytest.raises(RuntimeError), runner.exclusive(str(tmp_path / "lock")):
+    with exclusive(spark, str(tmp_path / "lock")):
+        with pytest.raises(RuntimeError), exclusive(spark, str(tmp_path / "lock")):
             pass
     runner.check_settings({"a": 1}, {"a": 2}, started=False)
     with pytest.raises(ValueError):
@@ -336,6 +337,14 @@ def test_commands_end_to_end(spark, tmp_path):
     assert json.loads(docs.first().value)["messages"][0]["role"] == "system"
     sinks.write_transcripts(docs, str(tmp_path / "docs"))
     assert spark.read.text(str(tmp_path / "docs")).count() == 6
+    for kind in ("parquet", "json", "json"):
+        sinks.write_catalogue(users, str(tmp_path / kind), kind)
+        assert getattr(spark.read, kind)(str(tmp_path / kind)).count() == 6
+    stored = spark.createDataFrame([("t", 3, "x")], "task_id string, score int, reason string")
+    assert sinks.upsert_scores(stored, stored).count() == 1
+    with pytest.raises(ValueError, match="stored 3, new 5"):
+        sinks.upsert_scores(stored, spark.createDataFrame([("t", 5, "x")], stored.schema))
+    assert spark.sql("SELECT timestamp '2026-01-02 03:04:05' AS x").select(transcript.iso_time(F.col("x")).alias("y")).first().y == "2026-01-02T03:04:05+00:00"
 
 
 def test_views_and_small_state(spark):
