@@ -31,15 +31,15 @@ def linked_groups(records: DataFrame, id_col: str, keys: list[str]) -> DataFrame
     """``(<id_col>, component)``; the component is the smallest tagged key of the group."""
     tagged: list[Column] = [F.when(F.col(k).isNotNull(), F.concat(F.lit(f"{i}:"), F.col(k).cast("string"))) for i, k in enumerate(keys)]
     rows = records.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col), F.array_compact(F.array(*tagged)).alias("ks"), F.concat(F.lit("~:"), F.col(id_col).cast("string")).alias("own")
+        F.col(id_col).alias("id"), F.array_compact(F.array(*tagged)).alias("ks"), F.concat(F.lit("~:"), F.col(id_col).cast("string")).alias("own")
     )
-    # every record hangs on its first key; a record of its own has a key of its own
+    # every record hangs on its first key; a record without keys has one of its own
     rows = rows.withColumn("first", F.coalesce(F.try_element_at("ks", F.lit(1)), "own"))
     edges = rows.select("first", F.explode(F.when(F.size("ks") > 0, F.col("ks")).otherwise(F.array("own"))).alias("k")).distinct()
     # records that come twice with different keys are linked by their id
-    edges = edges.union(rows.groupBy(id_col).agg(F.min("first").alias("first"), F.max("first").alias("k")).select("first", "k")).distinct()
+    edges = edges.union(rows.groupBy("id").agg(F.min("first").alias("first"), F.max("first").alias("k")).select("first", "k")).distinct()
     groups = connected_components(edges, "first", "k")
-    return rows.select(id_col, "first").join(groups, F.col("first") == F.col("node")).select(id_col, "component").distinct()
+    return rows.select("id", "first").join(groups, F.col("first") == F.col("node")).select(F.col("id").alias(id_col), "component").distinct()
 
 
 def min_cost_flow(n: int, arcs: list[tuple[int, int, int, int]], source: int, sink: int) -> list[int]:
@@ -162,19 +162,20 @@ def split_groups(
     splits = splits or {"train": 0.8, "validation": 0.1, "test": 0.1}
     names = list(splits)
     lab = F.coalesce(F.col(label).cast("string"), F.lit("")) if label else F.lit("")
-    counted = grouped.groupBy(group, lab.alias("l")).agg(F.count("*").alias("n"))
-    profile = counted.groupBy(group).agg(F.sum("n").alias("size"), F.min_by("l", F.struct(-F.col("n"), F.col("l"))).alias("profile"))
+    rows = grouped.select(F.col(id_col).alias("id"), F.col(group).alias("g"), lab.alias("l"))
+    counted = rows.groupBy("g", "l").agg(F.count("*").alias("n"))
+    profile = counted.groupBy("g").agg(F.sum("n").alias("size"), F.min_by("l", F.struct(-F.col("n"), F.col("l"))).alias("profile"))
     profile = Scratch(spark, "splits").table(profile)  # one row per group, read three times
     bundles = [(r.size, r.profile, r.groups) for r in profile.groupBy("size", "profile").agg(F.count("*").alias("groups")).orderBy("size", "profile").toLocalIterator()]
     shares = allocate(bundles, [splits[x] for x in names]) if bundles else []
-    rows = []
+    cuts = []
     for (size, prof, _), take in zip(bundles, shares):
         low = 0
         for name, n in zip(names, take):
             if n:
-                rows.append((size, prof, low + 1, low + n, name))
+                cuts.append((size, prof, low + 1, low + n, name))
             low += n
-    plan = spark.createDataFrame(rows, "size bigint, profile string, low bigint, high bigint, split string")
-    ranked = random_rank(profile, ["size", "profile"], [group], seed)
-    placed = ranked.join(plan, ["size", "profile"]).where("rank BETWEEN low AND high").select(group, "split")
-    return grouped.select(id_col, group).join(placed, group).select(id_col, group, "split")
+    plan = spark.createDataFrame(cuts, "size bigint, profile string, low bigint, high bigint, split string")
+    ranked = random_rank(profile, ["size", "profile"], ["g"], seed)
+    placed = ranked.join(plan, ["size", "profile"]).where("rank BETWEEN low AND high").select("g", "split")
+    return rows.select("id", "g").join(placed, "g").select(F.col("id").alias(id_col), F.col("g").alias(group), "split")

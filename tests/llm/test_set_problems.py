@@ -49,6 +49,18 @@ def test_linked_groups_and_splits(spark):
     assert splits.linked_groups(df.where("false"), "id", ["c", "u"]).count() == 0 and splits.split_groups(grouped.where("false"), "id").count() == 0
 
 
+def test_names_of_columns_may_clash(spark):
+    df = spark.createDataFrame([(1, "a", "x"), (2, "a", "y"), (3, "b", "y"), (4, None, None)], "first int, ks string, own string")
+    got = {r["first"]: r.component for r in splits.linked_groups(df, "first", ["ks", "own"]).collect()}
+    assert got[1] == got[2] == got[3] != got[4]
+    grouped = spark.createDataFrame([(i, str(i // 3), "x") for i in range(30)], "n int, l string, size string")
+    out = splits.split_groups(grouped, "n", group="l", label="size").collect()
+    assert len(out) == 30 and set(out[0].asDict()) == {"n", "l", "split"}
+    rows = spark.createDataFrame([(f"d{i}", "m") for i in range(20)], "seats string, t string")
+    targets = spark.createDataFrame([(1, "m", 1.0, 5, 1)], "plan_id int, t string, share double, sample_size int, min_rows int")
+    assert quota_sample.draw(rows, targets, "seats", ["t"]).count() == 5
+
+
 @given(st.lists(st.tuples(st.integers(1, 60), st.sampled_from("abc"), st.integers(1, 20)), min_size=1, max_size=15))
 @settings(max_examples=60, deadline=None)
 def test_allocation_is_whole_and_near(bundles):
