@@ -15,48 +15,59 @@ def facts(profiles: DataFrame, id_col: str, text: Column, keep: str = "a-z0-9")
     return profiles.select(F.col(id_col).alias("id"), F.explode(lines).alias("fact")).distinct()
 
 
+def _set_keys(f: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(id, k) thrice: sets of three facts; whole sets of one or two facts; subsets of that size.
+
+    Two profiles share three facts exactly if they share a set of three, and one of at most two
+    facts is held by another exactly if its whole set is among the other's small subsets. Facts
+    of one profile alone are dropped first, as they cannot be shared.
+    """
+    shared = f.groupBy("fact").agg(F.count("*").alias("df")).where("df > 1").select("fact")
+    kept = f.join(shared, "fact").groupBy("id").agg(F.array_sort(F.collect_set("fact")).alias("fs"))
+    rows = kept.join(f.groupBy("id").agg(F.count("*").alias("n")), "id")
+    key = lambda *xs: F.sha2(F.concat_ws("\n", *xs), 256)
+    at = lambda i: F.element_at("fs", i)
+    idx = F.sequence(F.lit(1), F.size("fs"))
+    two = F.flatten(F.transform(idx, lambda i: F.transform(F.filter(idx, lambda j: j > i), lambda j: F.struct(i.alias("i"), j.alias("j")))))
+    paired = rows.where(F.size("fs") >= 2).select("id", "fs", F.explode(two).alias("p"))
+    third = F.transform(F.slice("fs", F.col("p.j") + 1, F.size("fs")), lambda z: key(at(F.col("p.i")), at(F.col("p.j")), z))
+    triples = paired.select("id", F.explode(third).alias("k"))
+    ones = rows.select("id", F.explode("fs").alias("x")).select("id", key(F.lit("1"), F.col("x")).alias("k"))
+    twos = paired.select("id", key(F.lit("2"), at(F.col("p.i")), at(F.col("p.j"))).alias("k"))
+    small = rows.where((F.col("n") <= 2) & (F.col("n") == F.size("fs"))).select(
+        "id", F.when(F.col("n") == 1, key(F.lit("1"), at(1))).otherwise(key(F.lit("2"), at(1), F.try_element_at("fs", F.lit(2)))).alias("k")
+    )
+    return triples, small, ones.unionByName(twos)
+
+
 def overlap_pairs(f: DataFrame, strong: int = 3) -> DataFrame:
-    """(a, b, common) with a < b that share ``strong`` facts, or one of which holds the other.
+    """(a, b, common) with a < b that share three facts, or one of which holds the other.
 
-    An equi-join on the fact. For reports: where only the groups are wanted, ``overlap_edges``
-    gives the same components without listing pairs.
+    Pairs meet in sets of facts, never in single facts, so a fact in a third of all profiles makes
+    no pairs that are not in the result.
     """
-    sizes = f.groupBy("id").agg(F.count("*").alias("n"))
-    one, two = f.select(F.col("id").alias("a"), "fact"), f.select(F.col("id").alias("b"), "fact")
-    common = one.join(two, "fact").where("a < b").groupBy("a", "b").agg(F.count("*").alias("common"))
-    rows = common.join(sizes.select(F.col("id").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("id").alias("b"), F.col("n").alias("nb")), "b")
-    return rows.where((F.col("common") >= strong) | (F.col("common") == F.least("na", "nb"))).select("a", "b", "common")
+    if strong != 3:
+        raise ValueError("sets of three only")
+    triples, small, holders = _set_keys(f)
+    other = lambda df: df.select(F.col("id").alias("o"), "k")
+    met = triples.join(other(triples), "k").where("id < o").select("id", "o").unionByName(small.join(other(holders), "k").where("id <> o").select("id", "o"))
+    pairs = met.select(F.least("id", "o").alias("a"), F.greatest("id", "o").alias("b")).distinct()
+    whole = f.groupBy("id").agg(F.collect_set("fact").alias("fs"))
+    rows = pairs.join(whole.select(F.col("id").alias("a"), F.col("fs").alias("x")), "a").join(whole.select(F.col("id").alias("b"), F.col("fs").alias("y")), "b")
+    return rows.select("a", "b", F.size(F.array_intersect("x", "y")).cast("bigint").alias("common"))
 
 
 def overlap_edges(f: DataFrame, strong: int = 3) -> DataFrame:
     """Edges (src, dst) with the components of ``overlap_pairs``, and no pair of profiles.
 
-    Two profiles share three facts exactly if they share a set of three; so each profile is
-    linked to a node for each such set. A profile with fewer facts is linked to the node of its
-    whole set, and so is every profile that holds that set. Facts of one profile alone are
-    dropped first, and a fact in a third of all profiles makes no pairs.
+    Each profile is linked to a node for each of its sets of three facts, and to the node of each
+    whole set of one or two facts that it holds.
     """
     if strong != 3:
         raise ValueError("sets of three only")
-    shared = f.groupBy("fact").agg(F.count("*").alias("df")).where("df > 1").select("fact")
-    kept = f.join(shared, "fact").groupBy("id").agg(F.array_sort(F.collect_set("fact")).alias("fs"))
-    whole = f.groupBy("id").agg(F.count("*").alias("n"))
-    rows = kept.join(whole, "id")
-    key = lambda *xs: F.sha2(F.concat_ws("\n", *xs), 256)
-    at = lambda i: F.element_at("fs", i)
-    idx = F.sequence(F.lit(1), F.size("fs"))
-    two = F.flatten(F.transform(idx, lambda i: F.transform(F.filter(idx, lambda j: j > i), lambda j: F.struct(i.alias("i"), j.alias("j")))))
-    triples = rows.where(F.size("fs") >= 3).select("id", "fs", F.explode(two).alias("p"))
-    triples = triples.select("id", F.explode(F.transform(F.slice("fs", F.col("p.j") + 1, F.size("fs")), lambda z: key(at(F.col("p.i")), at(F.col("p.j")), z))).alias("k"))
-    # small whole sets, and whoever holds them
-    ones = rows.select("id", F.explode("fs").alias("x")).select("id", key(F.lit("1"), F.col("x")).alias("k"))
-    twos = rows.where(F.size("fs") >= 2).select("id", "fs", F.explode(two).alias("p")).select("id", key(F.lit("2"), at(F.col("p.i")), at(F.col("p.j"))).alias("k"))
-    small = rows.where((F.col("n") <= 2) & (F.col("n") == F.size("fs"))).select(
-        F.when(F.col("n") == 1, key(F.lit("1"), at(1))).otherwise(key(F.lit("2"), at(1), F.try_element_at("fs", F.lit(2)))).alias("k")
-    ).distinct()
-    holders = ones.union(twos).join(small, "k", "left_semi")
+    triples, small, holders = _set_keys(f)
+    linked = triples.unionByName(holders.join(small.select("k").distinct(), "k", "left_semi"))
     # a key of one profile alone links nothing
-    linked = triples.unionByName(holders)
     useful = linked.groupBy("k").agg(F.count("*").alias("c")).where("c > 1").select("k")
     return linked.join(useful, "k").select(F.concat(F.lit("p:"), F.col("id").cast("string")).alias("src"), F.concat(F.lit("~"), "k").alias("dst"))
 

@@ -36,7 +36,7 @@ def test_label_and_id_keys(spark):
         assert one(spark, x, label_key) == "topicchat"
     for x in ("SPC_0000185", "SPC_185", "spc-0000185", "ＳＰＣ_００００１８５", " SPC0000185​"):
         assert one(spark, x, id_key) == "spc185"
-    assert one(spark, "profiles/Character_profile/a_b_9_profile.json", id_key) == one(spark, "A-B-9-PROFILE", id_key) == "ab9profile"
+    assert one(spark, "some/folder/a_b_9_profile.json", id_key) == one(spark, "A-B-9-PROFILE", id_key) == "ab9profile"
     assert one(spark, "", label_key) == "" and one(spark, None, label_key) is None
 
 
