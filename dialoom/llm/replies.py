@@ -191,7 +191,6 @@ _MORE = r"""
 | (?:ご了承ください|ご理解ください|ご理解いただければ幸いです|(?:別|他|ほか)の(?:話題|質問|こと)[^。！？!?]{0,20}|言語モデルとして|専門家[^。！？!?]{0,20}|(?:どうか|何卒)?よろしくお願い(?:いたし)?します)
 | надеюсь[^.!?]{0,40}|пожалуйста[^.!?]{0,40}
 """
-_REFUSAL_HINT = regex.compile(r"不能|无法|没法|没办法|没有办法|不便|不方便|不会|不可以|不愿|拒绝|难以|无权|帮不|超出|被要求|不被允许|被禁止|can'?t|can\s?not|won'?t|will not|unable|not able|not allowed|permitted|declin|refus|pass on|rather not|beyond|outside|do(?:es)? not|puedo|podr|rechaz|negarme|absten|permitido|autorizad|más allá|fuera|posible|ません|かね|控え|超え|越え|не могу|не смогу|не имею", regex.I)
 _SEP = regex.compile(r"[\s,，、.。!！?？;；:：…~～\p{Cf}]*")
 _BREAK = regex.compile(r"[,，、;；:：]")
 _CLAUSES = tuple((regex.compile(x, regex.I | regex.X), core) for x, core in ((_OPEN, False), (_MORE, False), (_CORE, True)))
@@ -205,7 +204,7 @@ def is_refusal(text: str) -> bool:
     time is bounded by the square of the length.
     """
     text = text.replace("’", "'").strip(' \t\r\n"“”「」*_>')
-    if len(text) > 400 or not _REFUSAL_HINT.search(text):
+    if len(text) > 400:
         return False
     breaks = [m.start() for m in _BREAK.finditer(text)]
     todo, seen = [(_SEP.match(text).end(), False)], set()

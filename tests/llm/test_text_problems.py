@@ -223,6 +223,16 @@ def test_defects(question, reply, want):
     assert replies.defect(question, reply) == want
 
 
+@pytest.mark.parametrize("text", [
+    "我无法回答这个问题。", "恕我不便相告。", "这个话题我无权谈。", "关于这件事，我不便说。", "这已经超出了我的能力。", "我被规定只谈天气。", "我帮不上忙。",
+    "I have to pass.", "I must decline.", "My guidelines don't allow me to go into that.", "The rules forbid this.", "Our policy prohibits it.", "The terms prevent that.", "There is nothing I am able to say.", "That goes beyond my task.", "As an AI I cannot say.",
+    "No me es posible decirlo.", "Esto supera mis capacidades.", "Eso excede mi tarea.", "Debo declinar.", "Como modelo de lenguaje, no opino.",
+    "その質問には答えられない。", "お答えできない。", "それは許可されていない。", "私の能力を越えています。", "Я не имею права обсуждать это.",
+])
+def test_every_core_of_a_refusal_is_reached(text):
+    assert replies.is_refusal(text)
+
+
 def test_defective_replies_over_rows(spark):
     rows = [("a", 0, "system", "s"), ("a", 2, "Character", None), ("a", 1, "USER ", "q?"), ("a", 2, "assistant", None), ("b", 2, "assistant", ""), ("c", 1, "user", "Hi there?"), ("c", 2, "assistant", "x" * 300_000 + "."), ("c", 3, "user", "And now?"), ("c", 5, "assistant", ""), ("d", 1, "user", None), ("d", 2, "assistant", "I think"), (None, 2, "assistant", ""), ("e", None, "assistant", ""), ("f", 1, None, "q"), ("f", 2, "assistant", "")]
     df = spark.createDataFrame([(*r, 1) for r in rows], "dialogue_id string, pos int, role string, content string, u int")
