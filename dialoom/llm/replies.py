@@ -24,6 +24,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -139,26 +140,21 @@ def is_truncated(text: str) -> bool:
 # The grammar. A refusal is a row of clauses, each of which is an opening, a core, a
 # reason or a closing formula; at least one is a core.
 _CORE = r"""
-  (?:恕)?(?:我|本人|在下|咱)?(?:实在|暂时|现在|目前|真的|确实|也|还)*(?:无法|没法|没办法|没有办法|不能|不能够|不便|不方便|不可以|不会|不愿|拒绝|难以|无权)(?:再)?(?:对此|就此|为你|为您|向你|向您|给你|给您)?(?:回答|回应|回复|答复|讨论|谈论|提供|发表|协助|帮助|帮忙|处理|生成|参与|继续|扮演|满足|完成|评论|透露|给出|创作|说|聊|谈|做)[^。！？!?]{0,24}
-| 恕我(?:不能|无法|不便|难以)(?:从命|奉陪|回答|提供|相告|多说)?[^。！？!?]{0,16}
-| (?:这个|这类|这种|此类|该|您的|你的)?(?:请求|问题|要求|内容|话题|事情|事)(?:的内容)?我(?:暂时|实在|恐怕|目前)?(?:不能|无法|没法|没办法|不便|不可以|帮不上|无权)[^。！？!?]{0,14}
-| (?:关于|对于)[^。！？!?，,]{1,20}[，,]?\s*我(?:暂时|实在|恐怕)?(?:不能|无法|没法|没办法|不便)[^。！？!?]{0,20}
-| (?:这|那|此)?(?:已经)?超出了?我?[^。！？!?，,]{0,12}(?:范围|能力|权限)
-| 我(?:被要求|被规定|不被允许|被禁止)[^。！？!?，,]{0,24}
+  (?:恕)?(?:我|本人|在下|咱)?(?:实在|暂时|现在|目前|真的|确实|也|还)*(?:无法|没法|没办法|没有办法|不能|不能够|不便|不方便|不可以|不会|不愿|拒绝|难以|无权)(?:再)?(?:对此|就此|为你|为您|向你|向您|给你|给您)?(?:回答|回应|回复|答复|讨论|谈论|提供|发表|协助|帮助|帮忙|处理|生成|参与|继续|扮演|满足|完成|评论|透露|给出|创作|说|聊|谈|做)(?P<zh>)
+| 恕我(?:不能|无法|不便|难以)(?:从命|奉陪|回答|提供|相告|多说)?(?P<zh>)
+| (?:这个|这类|这种|此类|该|您的|你的)?(?:请求|问题|要求|内容|话题|事情|事)(?:的内容)?我(?:暂时|实在|恐怕|目前)?(?:不能|无法|没法|没办法|不便|不可以|帮不上|无权)(?P<zh>)
+| 我(?:被要求|被规定|不被允许|被禁止)(?P<zp>)
 | (?:我)?帮不(?:上|了)(?:你|您|这个)?(?:的)?忙?
-| (?:i\s+(?:really\s+|simply\s+)?(?:can(?:no|')?t|can\s?not|won'?t|will\s+not|am\s+(?:unable|not\s+able|not\s+allowed|not\s+permitted)|must\s+(?:decline|refuse)|have\s+to\s+(?:pass|decline|refuse)|decline|refuse)|i'm\s+(?:unable|not\s+able|not\s+allowed|not\s+permitted)|i\s+would\s+rather\s+not|i'd\s+rather\s+not)\b(?!\s+(?:believe|wait|remember|stand|recall|imagine|help\s+but|stop|get|tell\s+you\s+how|forget|see|hear|find))[^.!?。]{0,70}
-| (?:my|the|our)\s+(?:guidelines?|rules?|polic(?:y|ies)|instructions?|terms?)\s+(?:do(?:es)?\s+not|don't|doesn't|forbids?|prohibits?|prevents?)[^.!?]{0,70}
-| there\s+is\s+nothing\s+i\s+(?:am|'m)\s+(?:permitted|allowed|able)[^.!?]{0,60}
-| (?:this|that|it)\s+(?:goes|is|falls|lies)\s+(?:beyond|outside)\s+(?:of\s+)?(?:what|my|the)[^.!?]{0,60}
-| as\s+an?\s+(?:ai|language\s+model|assistant|program)[^.!?]{0,20},?\s*i\s+(?:can(?:no|')?t|can\s?not|won'?t|am\s+(?:unable|not\s+able))[^.!?]{0,70}
-| (?:yo\s+)?no\s+(?:puedo|podré|podría|me\s+es\s+posible|me\s+está\s+permitido|estoy\s+autorizad[oa])\s*(?!creer|esperar|dejar)[^.!?]{0,70}
-| (?:esto|eso)\s+(?:va\s+más\s+allá|queda\s+fuera|supera|excede|está\s+fuera)[^.!?]{0,60}
-| (?:debo|tengo\s+que)\s+(?:declinar|negarme|rechazar|abstenerme)[^.!?]{0,60}
-| como\s+modelo\s+de\s+lenguaje[^.!?]{0,10},?\s*no\s+[^.!?]{1,60}
-| [^。！？!?]{0,40}(?:お答え|お手伝い|回答|対応|提供|お話し?|協力|続ける\s*こと|する\s*こと|お教え|生成|参加|演じる?こと|扱うこと)(?:は|が|も|を|することは|することが)?(?:でき|出来|いたしかね|致しかね|しかね|差し控え|控え)[^。！？!?]{0,14}
-| [^。！？!?]{0,40}(?:演じられ|答えられ|話せ|応じられ|できかね|お受けでき|許可されてい|認められてい)(?:ません|ない|かねます)[^。！？!?]{0,10}
-| [^。！？!?]{0,30}(?:範囲|能力)を(?:超えて|越えて)[^。！？!?]{0,12}
-| (?:я\s+)?(?:к\s+сожалению\s+)?не\s+(?:могу|смогу|имею\s+права)\s+(?:ответить|помочь|обсуждать|продолжать|говорить|участвовать|выполнить)[^.!?]{0,60}
+| (?:i\s+(?:really\s+|simply\s+)?(?:can(?:no|')?t|can\s?not|won'?t|will\s+not|am\s+(?:unable|not\s+able|not\s+allowed|not\s+permitted)|must\s+(?:decline|refuse)|have\s+to\s+(?:pass|decline|refuse)|decline|refuse)|i'm\s+(?:unable|not\s+able|not\s+allowed|not\s+permitted)|i\s+would\s+rather\s+not|i'd\s+rather\s+not)\b(?!\s+(?:believe|wait|remember|stand|recall|imagine|help\s+but|stop|get|tell\s+you\s+how|forget|see|hear|find))(?P<eo>)
+| (?:my|the|our)\s+(?:guidelines?|rules?|polic(?:y|ies)|instructions?|terms?)\s+(?:do(?:es)?\s+not|don't|doesn't|forbids?|prohibits?|prevents?)(?P<en>)
+| there\s+is\s+nothing\s+i\s+(?:am|'m)\s+(?:permitted|allowed|able)(?P<en>)
+| (?:this|that|it)\s+(?:goes|is|falls|lies)\s+(?:beyond|outside)\s+(?:of\s+)?(?:what|my|the)(?P<en>)
+| as\s+an?\s+(?:ai|language\s+model|assistant|program)[^.!?]{0,20}?,?\s*i\s+(?:can(?:no|')?t|can\s?not|won'?t|am\s+(?:unable|not\s+able))(?P<en>)
+| (?:yo\s+)?no\s+(?:puedo|podré|podría|me\s+es\s+posible|me\s+está\s+permitido|estoy\s+autorizad[oa])\s*+(?!creer|esperar|dejar)(?P<en>)
+| (?:esto|eso)\s+(?:va\s+más\s+allá|queda\s+fuera|supera|excede|está\s+fuera)(?P<en>)
+| (?:debo|tengo\s+que)\s+(?:declinar|negarme|rechazar|abstenerme)(?P<en>)
+| como\s+modelo\s+de\s+lenguaje[^.!?]{0,10}?,?\s*no\s+(?=[^.!?])(?P<en>)
+| (?:я\s+)?(?:к\s+сожалению\s+)?не\s+(?:могу|смогу|имею\s+права)\s+(?:ответить|помочь|обсуждать|продолжать|говорить|участвовать|выполнить)(?P<en>)
 """
 _OPEN = r"""
   (?:真的|非常|很|十分|实在)?(?:抱歉|对不起|对不住|不好意思|遗憾|不巧)
@@ -177,37 +173,80 @@ _OPEN = r"""
 _MORE = r"""
   (?:还)?(?:请|望|敬请|希望(?:你|您)?)(?:你|您)?(?:多多?|能)?(?:谅解|理解|原谅|见谅|包涵|海涵)
 | (?:请|建议|可以|不如|麻烦)(?:你|您)?(?:换|改)(?:一个|个|一下|种)?(?:别的)?(?:话题|问题|方式|问法)
-| (?:建议|请)(?:你|您)?(?:向|咨询|联系|寻求)[^。！？!?，,]{0,16}
+| (?:建议|请)(?:你|您)?(?:向|咨询|联系|寻求)(?P<zp>)
 | 如果(?:你|您)?(?:还)?有(?:别的|其他|其它|另外的?)?(?:问题|需要|话题)|(?:欢迎|请|可以)(?:随时|再)?(?:再)?(?:来)?(?:问我|告诉我|提问|找我|联系我)
-| (?:根据|按照|依照|依据)[^。！？!?，,]{0,14}(?:规范|规定|要求|政策|准则|守则|原则)
-| (?:因为|由于)?我?(?:作为|只是|毕竟是|不过是)(?:一个|一款|一名)?[^。！？!?，,]{0,10}(?:模型|程序|助手|人工智能|AI|机器人)
 | and?\s*i\s+hope\s+(?:that\s+)?you\s+(?:can\s+|will\s+)?understand|i\s+hope\s+(?:that\s+)?you\s+(?:can\s+|will\s+)?understand|(?:i\s+)?(?:thank|thanks)\s+(?:you\s+)?for\s+(?:your\s+)?understanding
-| (?:please|you\s+(?:may|might|could)\s+(?:want|wish)\s+to)\s+(?:choose|pick|try|ask|consult|contact|understand|rephrase)[^.!?]{0,50}
-| (?:is\s+there|if\s+(?:there\s+is|you\s+have))\s+(?:any(?:thing|\s+other)|something|another)[^.!?]{0,60}
-| (?:let\s+me\s+know|feel\s+free)[^.!?]{0,50}
-| since\s+(?:such|this|that)\s+[^.!?]{0,50}
-| as\s+an?\s+(?:ai|language\s+model|assistant|program)[^.!?,]{0,20}
-| (?:espero\s+que\s+(?:lo\s+)?(?:entienda|comprenda)s?|por\s+favor[^.!?]{0,50}|(?:elige|elija|escoge|prueba)[^.!?]{0,40}|hay\s+algo\s+más[^.!?]{0,50}|gracias\s+por\s+(?:su|tu)\s+comprensión|como\s+modelo\s+de\s+lenguaje|si\s+tiene[^.!?]{0,50}|te\s+sugiero[^.!?]{0,50}|le\s+sugiero[^.!?]{0,50})
-| (?:ご了承ください|ご理解ください|ご理解いただければ幸いです|(?:別|他|ほか)の(?:話題|質問|こと)[^。！？!?]{0,20}|言語モデルとして|専門家[^。！？!?]{0,20}|(?:どうか|何卒)?よろしくお願い(?:いたし)?します)
-| надеюсь[^.!?]{0,40}|пожалуйста[^.!?]{0,40}
+| (?:please|you\s+(?:may|might|could)\s+(?:want|wish)\s+to)\s+(?:choose|pick|try|ask|consult|contact|understand|rephrase)(?P<en>)
+| (?:is\s+there|if\s+(?:there\s+is|you\s+have))\s+(?:any(?:thing|\s+other)|something|another)(?P<en>)
+| (?:let\s+me\s+know|feel\s+free)(?P<en>)
+| since\s+(?:such|this|that)\s+(?P<en>)
+| as\s+an?\s+(?:ai|language\s+model|assistant|program)(?P<ep>)
+| (?:espero\s+que\s+(?:lo\s+)?(?:entienda|comprenda)s?|por\s+favor(?P<en>)|(?:elige|elija|escoge|prueba)(?P<en>)|hay\s+algo\s+más(?P<en>)|gracias\s+por\s+(?:su|tu)\s+comprensión|como\s+modelo\s+de\s+lenguaje|si\s+tiene(?P<en>)|te\s+sugiero(?P<en>)|le\s+sugiero(?P<en>))
+| (?:ご了承ください|ご理解ください|ご理解いただければ幸いです|(?:別|他|ほか)の(?:話題|質問|こと)(?P<zh>)|言語モデルとして|専門家(?P<zh>)|(?:どうか|何卒)?よろしくお願い(?:いたし)?します)
+| надеюсь(?P<en>)|пожалуйста(?P<en>)
 """
+# Clauses with other words between their beginning and their key: the beginning, at which marks the words in
+# between end, the key, at which marks what follows ends (None: with the key), and whether it is a core.
+_GAPPED = (
+    (r"(?:关于|对于)[^。！？!?，,]", "zp", r"[，,]?\s*我(?:暂时|实在|恐怕)?(?:不能|无法|没法|没办法|不便)", "zh", True),
+    (r"(?:这|那|此)?(?:已经)?超出了?我?", "zp", r"范围|能力|权限", None, True),
+    (r"as\s+an?\s+(?:ai|language\s+model|assistant|program)\b", "ep", r",?\s*\bi\s+(?:can(?:no|')?t|can\s?not|won'?t|am\s+(?:unable|not\s+able))", "en", True),
+    (r"como\s+modelo\s+de\s+lenguaje(?!\s+puedo)", "ep", r",?\s*\bno\s+(?=[^.!?])", "en", True),
+    (r"(?:根据|按照|依照|依据)", "zp", r"规范|规定|要求|政策|准则|守则|原则", None, False),
+    (r"(?:因为|由于)?我?(?:作为|只是|毕竟是|不过是)(?:一个|一款|一名)?", "zp", r"模型|程序|助手|人工智能|AI|机器人", None, False),
+)
+# a Japanese core stands at the end of its sentence, after anything; what can be done is no refusal
+_NOT_POSSIBLE = r"(?:でき|出来)(?:ません|ない|なく|なか|かね|兼ね|ず|ぬ|そうにも?(?:ありません|ない)|る[^。！？!?、]*?(?:が|は|も)(?:(?:おり|い|あり)ません|いない|ない))"
+_GAPPED_JA = (
+    r"",
+    "zh",
+    rf"""(?:お答え|お手伝い|回答|対応|提供|お話し?|協力|続ける\s*こと|する\s*こと|お教え|生成|参加|演じる?こと|扱うこと)(?:は|が|も|を|することは|することが)?(?:{_NOT_POSSIBLE}|いたしかね|致しかね|しかね|差し控え|控え)
+    | (?:演じられ|答えられ|話せ|応じられ|できかね|お受けでき|許可されてい|認められてい)(?:ません|ない|かねます)
+    | (?:範囲|能力)を(?:超えて|越えて)""",
+    "zh",
+    True,
+)
+# where a sentence ends, by the name of the group at the end of a clause that runs on; at a blank line always
+_STOPS = {k: regex.compile(rf"[{v}]|\n\s*\n") for k, v in {"zh": "。！？!?", "zp": "。！？!?，,", "en": ".!?", "ep": ".!?,", "eo": ".!?。"}.items()}
 _SEP = regex.compile(r"[\s,，、.。!！?？;；:：…~～\p{Cf}]*")
 _BREAK = regex.compile(r"[,，、;；:：]")
 _CLAUSES = tuple((regex.compile(x, regex.I | regex.X), core) for x, core in ((_OPEN, False), (_MORE, False), (_CORE, True)))
+_GAPPED, _GAPPED_JA = (tuple((regex.compile(h, regex.I), gap, regex.compile(k, regex.I | regex.X), run, core) for h, gap, k, run, core in x) for x in (_GAPPED, (_GAPPED_JA,)))
 
 
 def is_refusal(text: str) -> bool:
     """Whether the whole reply is made of the clauses of a refusal.
 
     A chart parse: from each place that clauses reach, the next clause ends where its pattern
-    does, or at a break inside it at which the pattern holds too. Places are visited once, so the
-    time is bounded by the square of the length.
+    does. One that runs on ends with its sentence or at any break before that; as a later start
+    in the sentence leads to the same ends, each end is reached once, and the stops and keys of a
+    text are listed once. So neither texts nor clauses need a limit.
     """
     text = text.replace("’", "'").strip(' \t\r\n"“”「」*_>')
-    if len(text) > 400:
-        return False
     breaks = [m.start() for m in _BREAK.finditer(text)]
+    gapped = _GAPPED if text.isascii() or not _KANA.search(text) else _GAPPED + _GAPPED_JA
     todo, seen = [(_SEP.match(text).end(), False)], set()
+    stops: dict[str, list[int]] = {}
+    keys: dict[regex.Pattern, tuple[list[int], list[int]]] = {}
+    low: dict[tuple, int] = {}
+
+    def stop(kind: str, at: int) -> int:
+        if kind not in stops:
+            stops[kind] = [m.start() for m in _STOPS[kind].finditer(text)] + [len(text)]
+        return stops[kind][bisect_left(stops[kind], at)]
+
+    def reach(ends: list[int], first: int, last: int, core: bool, kind: object = None) -> None:
+        """The ends from first to last, without those reached before."""
+        known = low.get((kind, last, core), last + 1)
+        if first < known:
+            todo.extend((_SEP.match(text, e).end(), core) for e in ends[bisect_left(ends, first) : bisect_left(ends, known)])
+            low[kind, last, core] = first
+
+    def run_on(kind: str, at: int, core: bool) -> None:
+        last = stop(kind, at)
+        todo.append((_SEP.match(text, last).end(), core))
+        reach(breaks, at, last, core)
+
     while todo:
         at, core = todo.pop()
         if at == len(text):
@@ -219,9 +258,25 @@ def is_refusal(text: str) -> bool:
         seen.add((at, core))
         for clause, is_core in _CLAUSES:
             m = clause.match(text, at)
-            if m and m.end() > at:
-                ends = [m.end(), *(k for k in breaks if at < k < m.end() and clause.fullmatch(text, at, k))]
+            if m and m.lastgroup:
+                run_on(m.lastgroup, m.end(), core or is_core)
+            elif m and m.end() > at:
+                inside = breaks[bisect_left(breaks, at + 1) : bisect_left(breaks, m.end())]
+                ends = [m.end(), *(k for k in inside if clause.fullmatch(text, at, k))]
                 todo += [(_SEP.match(text, e).end(), core or is_core) for e in ends]
+        for head, gap, key, run, is_core in gapped:
+            if not (m := head.match(text, at)):
+                continue
+            if key not in keys:
+                found = [k.span() for k in key.finditer(text, overlapped=True)]
+                keys[key] = [a for a, _ in found], [b for _, b in found]
+            starts, ends = keys[key]
+            last = stop(gap, m.end())
+            i, j = bisect_left(starts, m.end()), bisect_right(starts, last)
+            if i < j and run:
+                run_on(run, ends[i], core or is_core)
+            elif i < j:
+                reach(ends, ends[i], ends[j - 1], core or is_core, key)
     return False
 
 

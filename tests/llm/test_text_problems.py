@@ -233,6 +233,18 @@ def test_every_core_of_a_refusal_is_reached(text):
     assert replies.is_refusal(text)
 
 
+@pytest.mark.parametrize("text,want", [
+    ("I can't help with writing the letter that the captain of the old ferry wanted to send to the clerk of the harbour before the winter.", True),
+    ("我不能讨论" + "昨天茶屋里的人说起的那把伞" * 4 + "。", True), ("关于" + "昨天茶屋里的人说起的那把伞" * 3 + "，我不便说。", True), ("この件は" + "昨日の夜に茶屋で番人が話していた" * 4 + "ことなのでお答えできません。", True),
+    ("Lo siento, no puedo hablar de " + "la carta que el capitán mandó al puerto " * 3 + ".", True), ("Я не могу обсуждать " + "письмо капитана и старый паром " * 4 + ".", True),
+    ("I'm sorry, but I can't help with that. " * 12 + "I hope you understand.", True), ("很抱歉，这个请求我不能处理，还请谅解。" * 30, True),
+    ("I'm sorry, but I can't help with that. " * 12 + "We walked to the river.", False), ("I can't help with that\n\nThe boats pass the old mill", False), ("喜んで協力できます。", False), ("その件は対応できるので心配ありません。", False),
+    ("抱歉，" * 40_000 + "哈", False), ("我不能说，" * 20_000 + "。哈", False), ("As an AI, " * 20_000 + "we", False),
+])
+def test_refusals_of_any_length(text, want):
+    assert replies.is_refusal(text) == want
+
+
 def test_defective_replies_over_rows(spark):
     rows = [("a", 0, "system", "s"), ("a", 2, "Character", None), ("a", 1, "USER ", "q?"), ("a", 2, "assistant", None), ("b", 2, "assistant", ""), ("c", 1, "user", "Hi there?"), ("c", 2, "assistant", "x" * 300_000 + "."), ("c", 3, "user", "And now?"), ("c", 5, "assistant", ""), ("d", 1, "user", None), ("d", 2, "assistant", "I think"), (None, 2, "assistant", ""), ("e", None, "assistant", ""), ("f", 1, None, "q"), ("f", 2, "assistant", "")]
     df = spark.createDataFrame([(*r, 1) for r in rows], "dialogue_id string, pos int, role string, content string, u int")
