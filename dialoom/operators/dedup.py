@@ -88,14 +88,15 @@ def representatives(groups: DataFrame, f: DataFrame, order: DataFrame) -> DataFr
     return rows.groupBy("component").agg(best.alias("id"), F.count("*").alias("members"))
 
 
-def ordered_fold(profiles: DataFrame, order: str, id_col: str, text: str, limit: int = 50) -> DataFrame:
+def ordered_fold(profiles: DataFrame, order: str, id_col: str, text: str, limit: int = 50, keep: str = "a-z0-9") -> DataFrame:
     """The incremental variant, row by row in order until ``limit`` distinct ones.
 
     The result depends on all rows before, so it is sequential by definition. Rows stream to the
-    driver one at a time and only the kept ones, at most ``limit``, stay there.
+    driver one at a time and only the kept ones, at most ``limit``, stay there. ``keep`` is as in
+    ``facts``.
     """
     spark = profiles.sparkSession
-    lines = F.array_distinct(F.transform(split_lines(F.col(text)), lambda x: normalize_fact(x)))
+    lines = F.array_distinct(F.transform(split_lines(F.col(text)), lambda x: normalize_fact(x, keep)))
     kept: list[tuple[int, object, frozenset]] = []
     for r in profiles.select(F.col(order).alias("o"), F.col(id_col).alias("i"), lines.alias("fs")).where("fs IS NOT NULL").orderBy("o").toLocalIterator():
         new = (r.o, r.i, frozenset(r.fs))

@@ -456,7 +456,7 @@ def dedup_representatives(spark: SparkSession, d: str) -> DataFrame:
 @query(None)
 def dedup_ordered(spark: SparkSession, d: str) -> DataFrame:
     """The incremental variant, which ends by definition at fifty distinct profiles."""
-    return dedup.ordered_fold(read_table(spark, d, "users").where("source_row_index IS NOT NULL"), "source_row_index", "id", "persona")
+    return dedup.ordered_fold(read_table(spark, d, "users").where("source_row_index IS NOT NULL"), "source_row_index", "id", "persona", keep=r"\p{L}\p{N}")
 
 
 # --- catalogue -----------------------------------------------------------------------------

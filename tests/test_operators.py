@@ -9,6 +9,7 @@ from dialoom.functions.json_text import tolerant_object
 from dialoom.functions.labels import id_key, label_key
 from dialoom.operators import backend, checks, dedup, lookups, runner, scoring, transcript
 from dialoom.operators.components import connected_components
+from dialoom.plans.queries import queries
 from dialoom.session import exclusive
 from dialoom.sources import files
 
@@ -110,6 +111,19 @@ def test_batch_and_ordered_dedup_differ(spark):
     assert [(r.id, r.members) for r in reps.collect()] == [("u1", 2), ("u2", 1)] or len(reps.collect()) == 2
 
 
+def test_ordered_dedup_of_facts_in_any_script(spark):
+    rows = [(0, "我喜欢唱歌。\n我住在河边。"), (1, "我是一名医生。"), (2, "私は医者です。"), (3, "我是一名医生！")]
+    df = spark.createDataFrame([(i, f"u{i}", t) for i, t in rows], "source_row_index int, id string, persona string")
+    kept = dedup.ordered_fold(df, "source_row_index", "id", "persona", keep=r"\p{L}\p{N}")
+    assert [r.id for r in kept.orderBy("ord").collect()] == ["u0", "u1", "u2"]
+
+
+def test_registered_ordered_dedup_keeps_chinese_profiles(spark, tmp_path):
+    df = spark.createDataFrame([(0, "a", "我喜欢唱歌。"), (1, "b", "我是一名医生。"), (2, "c", "我是一名医生！")], "source_row_index int, id string, persona string")
+    df.write.parquet(f"{tmp_path}/users.parquet")
+    assert [r.id for r in queries()["dedup_ordered"](spark, str(tmp_path)).orderBy("ord").collect()] == ["a", "b"]
+
+
 MESSAGES = [("a", 0, "system", "head"), ("a", 1, "user", "q1"), ("a", 2, "Character", "r1"), ("a", 3, "USER ", "q2"), ("a", 4, "assistant", "r2"), ("a", 4, "assistant", "r2"), ("b", 1, "user", "q"), ("c", 0, "system", "h"), ("c", 1, "assistant", "x")]
 
 
