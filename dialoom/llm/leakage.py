@@ -113,7 +113,11 @@ def longest_runs(same: np.ndarray, penalty: int = 4) -> tuple[int, int, int]:
 
 
 def overlaps(table: SeedTable, codes: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int, int, int]]:
-    """(text, item, exact run, tolerant overlap, substitutions in it), the best per text and item."""
+    """(text, item, exact run, tolerant overlap, substitutions in it), by text and item.
+
+    The longest exact run and the longest tolerant overlap, that with fewest substitutions, may
+    lie on different diagonals.
+    """
     pos, row = table.hits(codes)
     if not len(pos):
         return []
@@ -130,10 +134,10 @@ def overlaps(table: SeedTable, codes: np.ndarray, off: np.ndarray) -> list[tuple
         n = min(off[t + 1] - off[t] - a, table.off[i + 1] - table.off[i] - b)
         x = codes[off[t] + a : off[t] + a + n]
         y = table.codes[table.off[i] + b : table.off[i] + b + n]
-        found = longest_runs(x == y)
-        if found > best.get((t, i), (0, 0, 0)):
-            best[t, i] = found
-    return [(t, i, *v) for (t, i), v in best.items()]
+        exact, length, subs = longest_runs(x == y)
+        e, *overlap = best.get((t, i), (0, 0, 0))
+        best[t, i] = (max(exact, e), *max((length, -subs), tuple(overlap)))
+    return [(t, i, e, n, -m) for (t, i), (e, n, m) in best.items()]
 
 
 def item_blocks(items: DataFrame, item_id: str, text: str, least: dict[str, int], default: int, lang: str | None, block_letters: int):

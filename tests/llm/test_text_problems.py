@@ -141,6 +141,18 @@ def test_leaks_tolerate_substitutions_and_odd_rows(spark):
         leak_rows(spark, [(1, text)], [(1, text, "en")], least={"zh": 10})
 
 
+def test_exact_run_and_tolerant_overlap_on_different_diagonals(spark):
+    rng = random.Random(12)
+    letter = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxy") for _ in range(n))
+    passage, phrase, end = letter(90), letter(40), letter(50)
+    spoilt = "".join("z" if i in (30, 66) else c for i, c in enumerate(passage))
+    docs = [(1, "z" + phrase + "z" * 40 + spoilt + "z"), (2, "z" + phrase + "z" * 40 + spoilt + "z" * 40 + end + "z")]
+    rows = leak_rows(spark, docs, [(1, passage + "0" * 10 + phrase, "en"), (2, passage + phrase + "0" * 10 + end, "en")])
+    assert set(rows) == {(d, i) for d in (1, 2) for i in (1, 2)}
+    assert rows[1, 1].exact_letters == 40 and rows[2, 2].exact_letters == 50
+    assert all((r.overlap_letters, r.substitutions) == (90, 2) for r in rows.values())
+
+
 # --- problem 5 -----------------------------------------------------------------------------
 
 
