@@ -8,9 +8,9 @@ letters. ``repeated_share`` gives it for every row.
 word 1- to 3-grams and character 5- and 10-grams. The feature of an n-gram is its number of
 occurrences after the first over all n-grams of its order; its weight is that of the order plus
 that of its hash bucket. The model is fitted on at most ``train_rows`` rows, chosen by a hash of
-the text and labelled by the exact measure, with as many rows made from them that reach the
-threshold by the least possible number of repeated places; it is calibrated by Platt's method on
-a held-out part. ``prevailing`` keeps the rows above a fixed low probability and checks these
+the text and labelled by the exact measure, with rows made from a quarter of them, whole and in
+hash order, that reach the threshold by the least possible number of repeated places; it is
+calibrated by Platt's method on a held-out part. ``prevailing`` keeps the rows above a fixed low probability and checks these
 exactly. If the sample holds no rows at all, every row is checked.
 
 Rows made for the fit hold the necessary condition at its limit: half of the letters can only be
@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -151,13 +152,18 @@ def at_the_limit(text: str, rng: np.random.Generator, run: int, share: float) ->
     return body + " " + " ".join(picks)
 
 
+def _text_hash(text: str) -> bytes:
+    return blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
 def fit(texts: list[str], run: int = 10, share: float = 0.5, steps: int = 150, seed: int = 7) -> Model | None:
     """The calibrated model, or None if there is nothing to learn from."""
-    texts = [t for t in texts if t and len(t) >= 4 * run]
+    # in hash order the first quarter holds each language and length as often as the whole
+    texts = sorted((t for t in texts if t and len(t) >= 4 * run), key=_text_hash)
     if not texts:
         return None
     rng = np.random.default_rng(seed)
-    made = [at_the_limit(t[:2000], rng, run, share) for t in texts[: max(50, len(texts) // 4)]]
+    made = [at_the_limit(t, rng, run, share) for t in texts[: max(50, len(texts) // 4)]]
     rows = texts + made
     y = (exact_shares(*batch_letters(rows), run) >= share).astype(float)
     if y.min() == y.max():
@@ -221,7 +227,7 @@ def training_texts(df: DataFrame, text: str, train_rows: int, least_letters: int
     if every > 1:
         sample = sample.where(F.pmod(F.xxhash64(c), F.lit(every)) == 0)
     rows = sample.select(c.alias("t")).distinct().limit(2 * train_rows).collect()
-    return sorted({r.t for r in rows})[:train_rows]
+    return sorted({r.t for r in rows}, key=_text_hash)[:train_rows]
 
 
 def _apply(df: DataFrame, text: str, new: list[T.StructField], run_rows) -> DataFrame:

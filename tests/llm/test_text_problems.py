@@ -212,6 +212,23 @@ def test_prevailing_and_odd_rows(spark):
     assert repetition.prevailing(plain).count() == 0
 
 
+def test_limit_rows_are_of_every_script_and_whole(monkeypatch):
+    rng = random.Random(21)
+    script = {"zh": [chr(0x4E00 + i) for i in range(400)], "ja": [chr(0x3042 + i) for i in range(0, 80)]}
+    sample = lambda n: [prose(rng, 30) for _ in range(n)] + ["".join(rng.choice(script[k]) for _ in range(90)) for k in script for _ in range(n)]
+    texts = sorted([*sample(150), *((t + "，") * 9 for t in sample(20)), *("".join(rng.choice(script["zh"]) for _ in range(3000)) for _ in range(30))])
+    made, make = [], repetition.at_the_limit
+    with monkeypatch.context() as m:
+        m.setattr(repetition, "at_the_limit", lambda t, *a: made.append(t) or make(t, *a))
+        model = repetition.fit(texts)
+    assert len(made) == len(texts) // 4 and {t[0] >= "\u4e00" for t in made} == {True, False} and any("\u3042" <= t[0] <= "\u3092" for t in made)
+    assert max(map(len, made)) >= 3000
+    limit = [make(t, np.random.default_rng(i), 10, 0.5) for i, t in enumerate(sample(40))]
+    cases = [t for t, x in zip(limit, repetition.exact_shares(*letters.batch_letters(limit))) if x >= 0.5]
+    assert {"zh" if t[0] >= "\u4e00" else "ja" if t[0] >= "\u3042" else "en" for t in cases} == {"zh", "ja", "en"}
+    assert model.probability(cases).min() >= repetition.CANDIDATE
+
+
 # --- problem 2 -----------------------------------------------------------------------------
 
 CASES = [
