@@ -392,6 +392,26 @@ def is_copy(question: str, reply: str) -> bool:
     return r - len(rest) <= added and q - len(rest) <= missing and _ends_in_common(question, rest) >= len(rest) - 1 and len(rest) >= 0.5 * q
 
 
+_LEAD_BREAK = regex.compile(r"[:：,，\n]")
+_MARKS = regex.compile(r"[\W_]*")
+_SENTENCE_END = regex.compile(r"[.。!！?？]")
+
+
+def is_quoted_at_end(question: str, bare: str, reply: str) -> bool:
+    """Whether the whole question stands after a lead-in of any length; question and reply are letters.
+
+    The lead-in is one clause up to a comma, or one sentence up to a colon or line break.
+    """
+    if len(question) < 4 or not reply.endswith(question):
+        return False
+    breaks = [m.start() for m in _LEAD_BREAK.finditer(bare)]
+    i = bisect_left(breaks, -len(question), key=lambda k: -len(letters(bare[k:])))
+    if i == len(breaks) or letters(bare[breaks[i] :]) != question:
+        return False
+    lead, marks = bare[: breaks[i]], _MARKS.match(bare, breaks[i]).group()
+    return not _SENTENCE_END.search(lead) and (any(c in marks for c in ":：\n") or not _LEAD_BREAK.search(lead))
+
+
 # --- languages -----------------------------------------------------------------------------
 
 # Function words that tell the languages of the Latin script apart.
@@ -466,8 +486,10 @@ def defect(question: str | None, reply: str | None) -> str | None:
     asked = question or ""
     if asked:
         n, m = len(asked), len(bare)
-        if m <= 2 * n + 80 and 2 * m + 20 >= n and is_copy(letters(asked), letters(bare)):
-            return "copy"
+        if 2 * m + 20 >= n:
+            a, b = letters(asked), letters(bare)
+            if m <= 2 * n + 80 and is_copy(a, b) or is_quoted_at_end(a, bare, b):
+                return "copy"
     if is_truncated(bare):
         return "truncated"
     if asked and in_other_language(_TAG.sub("", asked) if "<" in asked else asked, bare):

@@ -274,6 +274,14 @@ def test_refusals_of_any_length(text, want):
     assert replies.is_refusal(text) == want
 
 
+@pytest.mark.parametrize("lead,want", [
+    ("So what you have just asked me is this: ", "copy"), ("So, what you have just asked me, if I heard it well, is this:\n", "copy"), ("You have just asked me once again in all earnest, ", "copy"), ("What I have heard you ask me on this fine morning by the river in front of all the others who came with us is word for word this: ", "copy"),
+    ("The captain came back with the boat. He asked this: ", None), ("The captain came back with the boat, and he saw the lantern, ", None), ("The captain came back with the boat to ask ", None),
+])
+def test_lead_ins_of_any_length(lead, want):
+    assert replies.defect("What do you think of the old lantern?", lead + "What do you think of the old lantern?") == want
+
+
 def test_defective_replies_over_rows(spark):
     rows = [("a", 0, "system", "s"), ("a", 2, "Character", None), ("a", 1, "USER ", "q?"), ("a", 2, "assistant", None), ("b", 2, "assistant", ""), ("c", 1, "user", "Hi there?"), ("c", 2, "assistant", "x" * 300_000 + "."), ("c", 3, "user", "And now?"), ("c", 5, "assistant", ""), ("d", 1, "user", None), ("d", 2, "assistant", "I think"), (None, 2, "assistant", ""), ("e", None, "assistant", ""), ("f", 1, None, "q"), ("f", 2, "assistant", "")]
     df = spark.createDataFrame([(*r, 1) for r in rows], "dialogue_id string, pos int, role string, content string, u int")
