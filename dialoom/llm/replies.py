@@ -4,12 +4,11 @@ Each defective reply gets one type, the first that applies of
 
 ``empty``           no letter once markup tags are dropped
 ``refusal``         every clause of the reply is part of a refusal grammar, one of them its core
-``copy``            greedy string tiling covers the reply and the question by each other
-``truncated``       the text ends inside a sentence, at a pause or opening mark, or in an open fence
+``copy``            greedy string tiling covers the reply, and the question but for a word or so
+``truncated``       a pushdown parser finds something open or unfinished at the end
 ``other_language``  the reply is mainly written in another language than the question
 
-The end of a reply is read by a pushdown parser of fences, brackets, quotations, list items and
-markup: closing marks pop what they close, and the state at the end decides.
+The endings are read by ``endings``, the copies by ``tiling``.
 
 ``defective_replies`` pairs each reply with the message at the position before by one shuffle on
 stretches of dialogues, sorted within partitions, and streams through it in Arrow batches. A
@@ -34,105 +33,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dialoom.functions.labels import role_key
+from dialoom.llm.endings import is_truncated
 from dialoom.llm.letters import letters
+from dialoom.llm.tiling import is_copy
 from dialoom.session import ship_package
 
 _TAG = regex.compile(r"</?[A-Za-z][^<>]*>|<!--.*?-->", regex.S)
 _LETTER = regex.compile(r"[^\W_]")
-_UNSEEN = regex.compile(r"[\s\p{Cf}\p{Cc}\p{Z}]+$")
-
-
-# --- endings -------------------------------------------------------------------------------
-
-# Marks by what they do.
-OPENING = {"(": ")", "（": "）", "[": "]", "【": "】", "{": "}", "《": "》", "〈": "〉", "「": "」", "『": "』", "“": "”", "‘": "’", "«": "»", "¿": "?", "¡": "!"}
-CLOSING = {")": "(", "）": "（", "]": "[", "】": "【", "}": "{", "》": "《", "〉": "〈", "」": "「", "』": "『", "”": "“", "’": "‘", "»": "«"}
-TERMINAL = set(".。!！?？…‥．｡~～♪♥❤")
-PAUSE = set(",，、;；:：-–—－､·/\\=+&")
-
-
-def parse_end(text: str) -> tuple[str, list[str]]:
-    """What stands at the end of the text, and which marks are still open there.
-
-    The kind is ``none``, ``terminal``, ``closing``, ``opening``, ``pause``, ``letter`` or
-    ``symbol``. Marks of pairs push and pop; a straight quotation mark opens after a blank or an
-    opening mark and closes otherwise; three backquotes open and close a fence, in which nothing
-    else counts; a line that begins with a list mark closes the brackets left open on the line
-    before it.
-    """
-    stack: list[str] = []
-    kind, before, i, n = "none", " ", 0, len(text)
-    while i < n:
-        c = text[i]
-        if text.startswith("```", i):
-            if stack and stack[-1] == "```":
-                stack.pop()
-                kind = "closing"
-            elif "```" not in stack:
-                stack.append("```")
-                kind = "opening"
-            i, before = i + 3, "`"
-            continue
-        if stack and stack[-1] == "```":
-            if not c.isspace():
-                kind = "letter" if c.isalnum() else "symbol"
-            i += 1
-            continue
-        if c == "\n":
-            if _LIST_MARK.match(text, i + 1):
-                stack = [x for x in stack if x not in "([{（【*"]
-        elif c == "<" and (m := _TAG.match(text, i)):
-            i = m.end()
-            continue
-        elif c in '"*_':
-            if c in stack and (before not in " \n" or stack[-1] == c):
-                while stack.pop() != c:
-                    pass
-                kind = "closing"
-            elif c == '"' or (i + 1 < n and not text[i + 1].isspace()):
-                if before.isspace() or before in OPENING or before in TERMINAL or before in PAUSE or not before.isascii():
-                    stack.append(c)
-                    kind = "opening"
-        elif c in OPENING:
-            if c not in "¿¡":
-                stack.append(c)
-            kind = "opening"
-        elif c in CLOSING:
-            if c == "’" and before.isalnum() and "‘" not in stack:
-                kind = "letter"
-            else:
-                if CLOSING[c] in stack:
-                    while stack.pop() != CLOSING[c]:
-                        pass
-                kind = "closing"
-        elif c in TERMINAL:
-            kind = "terminal"
-        elif c in PAUSE:
-            kind = "pause"
-        elif c.isalnum():
-            kind = "letter"
-        elif not c.isspace() and not _UNSEEN.match(c):
-            kind = "letter" if regex.match(r"\p{M}", c) else "symbol"
-        before = c
-        i += 1
-    return kind, stack
-
-
-_LIST_MARK = regex.compile(r"[ \t]*(?:[-*•]|\d+[.)、])[ \t]")
-_DASH_END = regex.compile(r"(?:——|—|–|--)$")
-
-
-def is_truncated(text: str) -> bool:
-    """Whether a reply with letters breaks off."""
-    t = _UNSEEN.sub("", text)
-    if not t:
-        return False
-    last = t[-1]
-    if last in TERMINAL:
-        # nothing is open but a fence: a sentence inside a quotation or bracket has still ended
-        return "```" in t and "```" in parse_end(t)[1]
-    kind, stack = parse_end(t)
-    return kind in ("letter", "pause", "opening") or "```" in stack
 
 
 # --- refusals ------------------------------------------------------------------------------
@@ -280,117 +187,7 @@ def is_refusal(text: str) -> bool:
     return False
 
 
-# --- copies --------------------------------------------------------------------------------
-
-
-def tiles(a: str, b: str, least: int = 4) -> list[tuple[int, int, int]]:
-    """Greedy string tiling: longest common pieces first, no letter twice; (at in a, at in b, length).
-
-    Texts above LONG letters are tiled from seeds of ``least`` letters, found in the order of
-    ``b`` and extended as far as they go: in proportion to their length instead of its square.
-    """
-    if max(len(a), len(b)) > LONG:
-        return _seeded_tiles(a, b, max(least, 12))
-    out: list[tuple[int, int, int]] = []
-    free = [(0, len(a), 0, len(b))]
-    # pieces in the same order come from cutting both texts at the longest piece; reordered ones
-    # come from the crosswise remainders
-    while free:
-        a0, a1, b0, b1 = free.pop()
-        if a1 - a0 < least or b1 - b0 < least:
-            continue
-        i, j, n = _longest(a[a0:a1], b[b0:b1])
-        if n < least:
-            continue
-        i, j = i + a0, j + b0
-        out.append((i, j, n))
-        left, right = (a0, i, b0, j), (i + n, a1, j + n, b1)
-        free += [left, right]
-        if (i - a0) >= least and (b1 - j - n) >= least and j - b0 < least:
-            free.append((a0, i, j + n, b1))
-        if (a1 - i - n) >= least and (j - b0) >= least and b1 - j - n < least:
-            free.append((i + n, a1, b0, j))
-    return out
-
-
-LONG = 2000
-
-
-def _seeded_tiles(a: str, b: str, least: int) -> list[tuple[int, int, int]]:
-    first: dict[str, int] = {}
-    for i in range(len(a) - least, -1, -1):
-        first[a[i : i + least]] = i
-    out, used, j, after = [], bytearray(len(a)), 0, 0
-    while j + least <= len(b):
-        piece = b[j : j + least]
-        # a tile most often goes on where the last one ended
-        i = after if a.startswith(piece, after) else first.get(piece, -1)
-        if i < 0 or used[i]:
-            j += 1
-            continue
-        n = least
-        while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n] and not used[i + n]:
-            n += 1
-        used[i : i + n] = b"\x01" * n
-        out.append((i, j, n))
-        j, after = j + n, i + n
-    return out
-
-
-def _longest(a: str, b: str) -> tuple[int, int, int]:
-    """The longest common piece, by halving its length over sets of pieces."""
-    low, high, best = 0, min(len(a), len(b)), (0, 0, 0)
-    while low < high:
-        n = (low + high + 1) // 2
-        seen = {a[i : i + n]: i for i in range(len(a) - n, -1, -1)}
-        hit = next(((seen[b[j : j + n]], j) for j in range(len(b) - n + 1) if b[j : j + n] in seen), None)
-        if hit:
-            low, best = n, (*hit, n)
-        else:
-            high = n - 1
-    return best
-
-
-#: A copy may lack one piece, and add pieces, of so many letters or this share of the question.
-PIECE, MISSING_SHARE, ADDED_SHARE = 16, 0.25, 0.2
-
-
-def _ends_in_common(a: str, b: str) -> int:
-    """Letters of the longest common beginning and, beside it, the longest common end."""
-    n = min(len(a), len(b))
-    i = next((k for k in range(n) if a[k] != b[k]), n)
-    j = next((k for k in range(n - i) if a[-1 - k] != b[-1 - k]), n - i)
-    return i + j
-
-
-def is_copy(question: str, reply: str) -> bool:
-    """Letters of the question and of the reply: does the reply only say the question again?
-
-    Tiling tells how much of the question is there and where it begins in the reply. What comes
-    before is a lead-in; the rest must be the question whole, or short of one unbroken piece. A
-    sentence of the same pattern with another word in it is none of these.
-    """
-    q, r = len(question), len(reply)
-    if q < 4 or r < 4:
-        return question == reply and q >= 2
-    if question == reply:
-        return True
-    added, missing = max(PIECE, ADDED_SHARE * q), max(PIECE, MISSING_SHARE * q)
-    if not 0.5 * q <= r <= q + added:
-        return False
-    # of four equal parts of the question at least two must have a piece in the reply
-    step, k = max(1, q // 4), min(6, max(2, q // 8))
-    if sum(question[i * step : i * step + k] in reply or question[i * step + step - k : i * step + step] in reply for i in range(4)) < 2:
-        return False
-    found = tiles(question, reply, 3 if question.isascii() else 2)
-    if sum(n for _, _, n in found) < 0.5 * q:
-        return False
-    if question in reply:
-        return True
-    i, j, _ = min(found)
-    rest = reply[max(0, j - i) :]
-    return r - len(rest) <= added and q - len(rest) <= missing and _ends_in_common(question, rest) >= len(rest) - 1 and len(rest) >= 0.5 * q
-
+# --- copies ---------------------------------------------------------------------------------
 
 _LEAD_BREAK = regex.compile(r"[:：,，\n]")
 _MARKS = regex.compile(r"[\W_]*")
@@ -484,13 +281,11 @@ def defect(question: str | None, reply: str | None) -> str | None:
     if is_refusal(bare):
         return "refusal"
     asked = question or ""
-    if asked:
-        n, m = len(asked), len(bare)
-        if 2 * m + 20 >= n:
-            a, b = letters(asked), letters(bare)
-            if m <= 2 * n + 80 and is_copy(a, b) or is_quoted_at_end(a, bare, b):
-                return "copy"
-    if is_truncated(bare):
+    if asked and 2 * len(bare) + 20 >= len(asked):
+        a, b = letters(asked), letters(bare)
+        if is_copy(a, b) or is_quoted_at_end(a, bare, b):
+            return "copy"
+    if is_truncated(text):
         return "truncated"
     if asked and in_other_language(_TAG.sub("", asked) if "<" in asked else asked, bare):
         return "other_language"

@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from dialoom.llm import leakage, letters, repetition, replies, uniform
+from dialoom.llm import endings, leakage, letters, repetition, replies, tiling, uniform
 
 WORDS = "the lantern of a sailor and her small boat near old harbour stones while rain falls over quiet hills".split()
 
@@ -233,7 +233,7 @@ def test_limit_rows_are_of_every_script_and_whole(monkeypatch):
 
 CASES = [
     ("q?", None, "empty"), ("q?", "<br/>", "empty"), ("q?", "……", "empty"), ("q?", "​", "empty"), ("q?", "{}", "empty"),
-    ("你好吗？", "我很好。", None), ("你好吗？", "嗯", "truncated"), ("Are you there?", "Yes.", None), ("Are you there?", "I think we should", "truncated"),
+    ("你好吗？", "我很好。", None), ("你好吗？", "嗯", None), ("你好吗？", "嗯，我", "truncated"), ("Are you there?", "Yes.", None), ("Are you there?", "I think we should", "truncated"),
     ("Are you there?", "I think we should,", "truncated"), ("Are you there?", 'What I mean is "', "truncated"), ("去哪里？", "比如（", "truncated"), ("去哪里？", "我想说的是：“", "truncated"),
     ("去哪里？", "我们去河边（笑）", None), ("去哪里？", "“去河边，别忘了伞”", None), ("Where?", "To the river :)", None), ("Where?", "To the river 😄", None), ("Where?", "To the river~", None), ("Where?", '"To the river"', None), ("Where?", "See ```x = 1", "truncated"), ("Where?", "See:\n```\nx = 1\n```", None),
     ("聊聊天？", "抱歉，我无法回答这个问题。", "refusal"), ("聊聊天？", "抱歉让你久等了，队长刚走。", None), ("聊聊天？", "对不起，我把伞落在车站了。", None), ("聊聊天？", "很抱歉，这个请求我不能处理，还请谅解。如果还有别的问题，欢迎再来问我。", "refusal"),
@@ -316,10 +316,76 @@ def test_a_long_dialogue_is_cut_without_loss(spark):
 @settings(max_examples=150, deadline=None)
 def test_tiles_do_not_overlap(a, b):
     ta, tb = set(), set()
-    for i, j, n in replies.tiles(a, b, 3):
+    for i, j, n in tiling.tiles(a, b, 3):
         assert a[i : i + n] == b[j : j + n]
         assert not ta & set(range(i, i + n)) and not tb & set(range(j, j + n))
         ta |= set(range(i, i + n))
         tb |= set(range(j, j + n))
 
 
+
+
+@given(st.text(alphabet="abc", max_size=14), st.text(alphabet="abc", max_size=14))
+@settings(max_examples=150, deadline=None)
+def test_tiles_are_the_longest_first_and_leave_nothing(a, b):
+    common = lambda x, y: max((n for n in range(min(len(x), len(y)), 0, -1) if any(x[i : i + n] in y for i in range(len(x) - n + 1))), default=0)
+    found = tiling.tiles(a, b, 2)
+    if common(a, b) >= 2:
+        assert found[0][2] == common(a, b)
+    free_a, free_b = list(a), list(b)
+    for i, j, n in found:
+        free_a[i : i + n], free_b[j : j + n] = ["x"] * n, ["y"] * n
+    assert common("".join(free_a), "".join(free_b)) < 2
+
+
+BLOCKS = ("redlanternsky", "oldwoodenboat", "greenglassjar")
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (0, 2, 1), (1, 0, 2), (1, 2, 0), (2, 0, 1), (2, 1, 0), (0, 1, 2, 0, 1, 2), (0,), (2,)])
+def test_blocks_in_any_order_or_twice_are_copies(order):
+    assert tiling.is_copy("".join(BLOCKS), "".join(BLOCKS[i] for i in order)) == (len(order) > 1)
+
+
+@pytest.mark.parametrize("question,reply,want", [
+    ("Is it true that the ranger marked the carpet?", "Is true that the ranger marked the carpet?", "copy"), ("Tea or coffee?", "Tea or coffee? Coffee.", None), ("Tea or coffee?", "Tea or coffee? Tea or coffee?", "copy"),
+    ("What do you think of the old lantern in the hall?", "What do you think of the old lantern in the hall? What do you think of the old lantern in the hall?", "copy"),
+    ("さびしい種が待合室に置いてあったのを覚えています。", "明るい急須が麓に置いてあったのを覚えています。", None), ("Cats like dogs.", "Dogs like cats.", None), ("我们去看电影吧。", "我们去看电影吧！好的，我去拿伞。", None),
+])
+def test_copies_by_coverage(question, reply, want):
+    assert replies.defect(question, reply) == want
+
+
+@pytest.mark.parametrize("text,want", [
+    ("He said (see the note.", True), ("“He left.", True), ('[1, 2, {"a": 3}', True), ("1. Milk\n2. Eggs\n3.", True), ("ok", False), ("42", False), ("of course", False), ("好的", False), ("the", True), ("我在", True),
+    ("- apples\n- pears\n- plums", False), ("- apples.\n- pears.\n- plu", True), ("1) One\n2) Two", False), ("3.", False), ("Use `x` here.", False), ("Use `x", True), ("~~~\nx = 1\n~~~", False), ("~~~\nx = 1.", True), ("```\nif x { return (\n```", False),
+    ("*smiles* Sure.", False), ("*smiles and leaves.", True), ("**Note** 5 * 3 = 15.", False), ("a_b_c is it.", False), ("I like it :(", False), ('It is 6" wide.', False), ('He said "no.', True), ("He said ‘no.", True), ("don’t worry.", False),
+    ("<b>bold</b> text.", False), ("<b>bold text.", True), ("<p>One.<br>Two.", False), ('See it. <a href="x', True), ("x < y.", False), ("| a | b |\n|---|---|\n| 1 | 2", True), ("| a | b |\n| 1 | 2 |", False), ("“One.\n\n“Two.”", False), ("他说：「好。", True), ("（笑）", False), ("a) tea\nb) milk (hot\nc) water", False), ("", False),
+])
+def test_the_stack_decides_how_a_text_ends(text, want):
+    assert endings.is_truncated(text) == want
+
+
+@given(st.text(alphabet="ab .([{\"*_`~<>/|\n-1)]}“”‘’", max_size=60))
+@settings(max_examples=300, deadline=None)
+def test_any_marks_are_parsed(text):
+    endings.is_truncated(text)
+
+
+def test_defects_planted_in_sound_pairs_are_found():
+    """Sound pairs of the test table with one defect put in: every one gets its own type."""
+    import duckdb
+
+    said = {(d, p): (r, c) for d, p, r, c in duckdb.sql("SELECT dialogue_id, pos, lower(trim(role)), content FROM '/root/testdata/sf0.01/messages.parquet' WHERE length(content) BETWEEN 30 AND 300").fetchall()}
+    pairs = [(said[d, p - 1][1], c) for (d, p), (r, c) in sorted(said.items()) if (d, p - 1) in said and r == "assistant" and said[d, p - 1][0] == "user" and replies.defect(said[d, p - 1][1], c) is None][:600]
+    assert len(pairs) == 600
+    rng = random.Random(4)
+    wrong = {}
+    for k, (q, r) in enumerate(pairs):
+        cut = next((i for i in range(len(r) // 2, 10, -1) if r[i - 1].isalnum() and r[i].isalnum()), None)
+        other = next(r2 for q2, r2 in rng.sample(pairs, len(pairs)) if {replies.main_language(r2)[0], replies.main_language(q)[0]} in ({"zh", "en"}, {"zh", "es"}, {"ja", "en"}, {"zh", "ja"}))
+        plants = [("copy", "「" + q + "」"), ("copy", "You said: " + q), ("empty", "<p> … </p>"), ("refusal", rng.choice(["I'm sorry, but I can't help with that.", "抱歉，我无法回答这个问题。", "Lo siento, no puedo ayudar con eso."])), ("other_language", other)]
+        plants += [("truncated", r[:cut]), ("truncated", r + "（"), ("truncated", r + "“" + r)] if cut else []
+        for want, text in plants:
+            if replies.defect(q, text) != want:
+                wrong.setdefault(want, []).append((q, text))
+    assert {k: len(v) for k, v in wrong.items()} == {}
