@@ -156,8 +156,8 @@ def is_copy(question: str, reply: str) -> bool:
     It does if tiles cover the whole reply behind a lead-in, and the question but for one run of
     at most ``MISSING_SHARE`` of it (of ``MISSING_WORD`` letters, and half of it, if that is
     more). The tiles may stand in another order, if they are not many for the length of the
-    question. What is left of the reply then must cover the question again in the same way, so a
-    question said twice is a copy and a question followed by an answer from its words is none.
+    question. What is left of the reply then must cover the question again, but for the share alone,
+    so a question said twice is a copy and a question followed by an answer from its words is none.
     """
     q, rest = len(question), reply
     if q < 4 or len(reply) < 4:
@@ -181,6 +181,8 @@ def is_copy(question: str, reply: str) -> bool:
             return True
         rest = after
     while True:
+        if rest is not reply:
+            missing = MISSING_SHARE * q  # said again, so nearly whole
         if len(rest) < q - missing:
             return False
         not_q, not_r, count = _one_saying(question, rest, least)
