@@ -18,10 +18,14 @@ _shipped: set[str] = set()
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests, a laptop) a folder of our own is set.
+    Only where that setting is absent and everything runs in one process (tests, a laptop) a
+    folder of our own is set; on a cluster its absence is an error.
     """
     conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         conf = f"file://{tempfile.gettempdir()}/dialoom-checkpoints"
         spark.conf.set("spark.checkpoint.dir", conf)
     return conf.rstrip("/")
@@ -102,16 +106,18 @@ def read_text(spark: SparkSession, where: str) -> str:
 
 
 def write_text(spark: SparkSession, where: str, text: str) -> None:
-    """A small document, whole or not at all: written beside its place and renamed."""
+    """A small document, whole or not at all: written beside its place and renamed over it."""
     path, fs = _hadoop_path(spark, where)
-    part, _ = _hadoop_path(spark, f"{where}.part")
+    part, _ = _hadoop_path(spark, f"{where}.{uuid.uuid4().hex[:8]}.part")
     out = fs.create(part, True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
-    if fs.exists(path):
-        fs.delete(path, False)
-    if not fs.rename(part, path):
-        raise OSError(f"{where} could not be written")
+    sc = spark.sparkContext
+    fs_package = sc._jvm.org.apache.hadoop.fs
+    how = sc._gateway.new_array(fs_package.Options.Rename, 1)
+    how[0] = fs_package.Options.Rename.OVERWRITE
+    context = fs_package.FileContext.getFileContext(fs.getUri(), sc._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(part), fs.makeQualified(path), how)
 
 
 @contextmanager
@@ -132,14 +138,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_PLAIN_SCAN = {"Project", "Filter", "LogicalRelation", "HiveTableRelation", "DataSourceV2ScanRelation", "LocalRelation", "LogicalRDD"}
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` on at least as many partitions as there are cores, for costly work on a plain scan.
 
     A small table in one file would keep one core busy. Tables with enough splits, and anything
     that is more than a scan with projections and filters, are returned as they are.
     """
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    if any(x in plan for x in ("Join", "Aggregate", "Sort", "Window", "Repartition", "Distinct", "Generate")):
-        return df
+    todo = [df._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() not in _PLAIN_SCAN:
+            return df
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
