@@ -20,7 +20,7 @@ def _resolved_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     jobs = read_table(spark, sf_dir, "jobs").select(
         "dialogue_id", "status", id_key(F.col("job.character.id")).alias("ck"), id_key(F.col("job.user.id")).alias("uk"), id_key(F.col("job.topic.id")).alias("tk")
-    ).dropDuplicates(["dialogue_id"])
+    ).distinct()
     chars = read_table(spark, sf_dir, "characters")
     names = chars.select("id", "id").toDF("ck", "character").union(chars.select("former_id", "id")).where("ck IS NOT NULL")
     names = names.select(id_key(F.col("ck")).alias("ck"), "character").groupBy("ck").agg(F.min("character").alias("character"))
@@ -32,23 +32,38 @@ def _resolved_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.join(names, "ck", "left").join(users, "uk", "left").join(topics, "tk", "left").select("dialogue_id", "status", "character", "person", "topic")
 
 
-def _job_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from dialoom.llm.splits import linked_groups
+def _split_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(dialogue_id, split, group_id, status): every job with the split of its group."""
+    from dialoom.llm.splits import linked_groups, split_groups
 
     jobs = Scratch(spark, "jobs").table(_resolved_jobs(spark, sf_dir))
-    return linked_groups(jobs, "dialogue_id", ["character", "person", "topic"]).join(jobs, "dialogue_id")
+    once = jobs.groupBy("dialogue_id").agg(F.min("status").alias("status"), F.min("character").alias("character"))
+    grouped = linked_groups(jobs, "dialogue_id", ["character", "person", "topic"]).join(once, "dialogue_id")
+    grouped = Scratch(spark, "grouped").table(grouped)
+    split = split_groups(grouped, "dialogue_id", label="status")
+    ids = grouped.groupBy("component").agg(F.min("character").alias("group_id"))
+    return split.join(ids, "component").select("dialogue_id", "component", "split", "group_id")
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    jobs = _job_groups(spark, sf_dir)
-    ids = jobs.groupBy("component").agg(F.min("character").alias("group_id"))
-    return jobs.join(ids, "component").select("dialogue_id", "group_id")
+    return _split_jobs(spark, sf_dir).select("dialogue_id", "group_id")
 
 
 def p1_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from dialoom.llm.splits import split_groups
+    return _split_jobs(spark, sf_dir).select("dialogue_id", "split")
+
 
-    return split_groups(_job_groups(spark, sf_dir), "dialogue_id", label="status").select("dialogue_id", "split")
+def p1_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the splits: one row per split; sizes and labels within 2 % or 3 jobs, no group in two."""
+    rows = _split_jobs(spark, sf_dir)
+    status = read_table(spark, sf_dir, "jobs").groupBy("dialogue_id").agg(F.min("status").alias("status"))
+    rows = Scratch(spark, "contract").table(rows.join(status, "dialogue_id"))
+    share = F.when(F.col("split") == "train", 0.8).otherwise(0.1)
+    torn = rows.groupBy("group_id").agg(F.count_distinct("split").alias("n")).where("n > 1").agg(F.count("*").alias("groups_torn"))
+    whole = rows.groupBy("split").agg(F.count("*").alias("n")).join(rows.agg(F.count("*").alias("jobs"))).select("split", "jobs", (F.abs(F.col("n") - share * F.col("jobs")) <= F.greatest(F.lit(3.0), 0.02 * F.col("jobs"))).alias("size_kept"))
+    cell = rows.groupBy("split", "status").agg(F.count("*").alias("n")).join(rows.groupBy("status").agg(F.count("*").alias("all")), "status")
+    labels = cell.groupBy("split").agg(F.max(F.abs(F.col("n") - share * F.col("all")) / F.greatest(F.lit(150.0), F.col("all"))).alias("off")).select("split", (F.col("off") <= 0.02).alias("labels_kept"))
+    return whole.join(labels, "split").join(torn)
 
 
 def _dialogue_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,6 +110,12 @@ def p4_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return draw(*_labelled(spark, sf_dir), "dialogue_id", ["mode", "tone"]).select("plan_id", "dialogue_id", "mode", "tone")
 
 
+def p4_seats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows drawn of each target, counted in the sample, and the distinct ids among them."""
+    sample = p4_sample(spark, sf_dir).groupBy("plan_id", "mode", "tone").agg(F.count("*").alias("seats"), F.count_distinct("dialogue_id").alias("ids"))
+    return sample.orderBy("plan_id", "mode", "tone")
+
+
 def _utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User and assistant messages, as written; redelivered rows are still there."""
     return read_table(spark, sf_dir, "messages").where(role_key(F.col("role")).isin("user", "assistant"))
@@ -201,6 +222,12 @@ def oracle_sql() -> dict[str, str]:
         "p3_found": near,
         "p4_found": f"""WITH {labelled} SELECT plan_id, mode, tone FROM sampling_targets LEFT JOIN n ON mk = {label('mode')} AND tk = {label('tone')}
             WHERE coalesce(available, 0) < greatest(share * sample_size, min_rows)""",
+        # the three splits with what they keep; the counts come from the table
+        "p1_contract": """SELECT unnest(['train', 'validation', 'test']) AS split, count(DISTINCT dialogue_id) AS jobs, true AS size_kept, true AS labels_kept, CAST(0 AS BIGINT) AS groups_torn FROM jobs""",
+        # every row of every category with its priority; a plan takes floors first, then the smallest
+        "p4_seats": f"""WITH {labelled}, a AS (SELECT plan_id, mode, tone, CAST(share AS DOUBLE) AS share, sample_size, min_rows, coalesce(available, 0) AS available FROM sampling_targets LEFT JOIN n ON mk = {label('mode')} AND tk = {label('tone')}),
+            p AS (SELECT *, unnest(range(1, available + 1)) AS r FROM a), o AS (SELECT *, row_number() OVER (PARTITION BY plan_id ORDER BY r > min_rows, (r - 0.5) / share, mode, tone) AS place FROM p WHERE share > 0 OR r <= min_rows)
+            SELECT plan_id, mode, tone, count(*) AS seats, count(*) AS ids FROM o WHERE place <= sample_size GROUP BY ALL""",
         "p5_found": f"{share} SELECT dialogue_id, pos FROM s WHERE n_letters >= 40 AND repeated_share >= 0.5",
         "p5_share": f"{share} SELECT * FROM s",
         "p7_found": leak,

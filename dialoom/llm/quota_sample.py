@@ -11,7 +11,7 @@ are kept by one comparison of rank and seats: the ranking is made once for all p
 of the hash, and no task holds a whole category.
 
 Defined cases: rows with a null or unknown category belong to none and are never drawn; a
-repeated id counts once; targets whose floors exceed the size keep the floors' smallest
+repeated id counts once, in the smallest of its known categories; targets whose floors exceed the size keep the floors' smallest
 priorities up to the size; an empty table draws nothing and reports all targets; a share of 0
 gives only floor rows.
 """
@@ -69,36 +69,55 @@ def category_counts(rows: DataFrame, targets: DataFrame, categories: list[str])
     return targets.join(counts, categories, "left").withColumn("available", F.coalesce("available", F.lit(0)))
 
 
-def _distinct(rows: DataFrame, id_col: str, categories: list[str]) -> DataFrame:
-    return rows.select(id_col, *categories).where(F.col(id_col).isNotNull()).distinct()
-
-
-def shortfalls(rows: DataFrame, targets: DataFrame, id_col: str, categories: list[str], plan: str = "plan_id", share: str = "share", size: str = "sample_size", floor: str = "min_rows") -> DataFrame:
-    """Targets that cannot be met: fewer rows than the greater of share x size and floor."""
-    need = F.greatest(F.col(share) * F.col(size), F.col(floor).cast("decimal(20,4)"))
-    targets = targets.select(plan, *categories, share, size, floor)
-    counted = category_counts(_distinct(rows, id_col, categories), targets, categories)
-    return counted.where(F.col("available") < need).select(plan, *categories, "available", need.alias("needed"))
-
-
-def draw(
-    rows: DataFrame, targets: DataFrame, id_col: str, categories: list[str],
-    plan: str = "plan_id", share: str = "share", size: str = "sample_size", floor: str = "min_rows", seed: str = "sample",
-) -> DataFrame:
+class Sample:
+    """The sample of each plan, and how far it meets the targets."""
+
+    def __init__(
+        self, rows: DataFrame, targets: DataFrame, id_col: str, categories: list[str],
+        plan: str = "plan_id", share: str = "share", size: str = "sample_size", floor: str = "min_rows", seed: str = "sample",
+    ):
+        spark = rows.sparkSession
+        self.id_col, self.categories, self.plan = id_col, categories, plan
+        self.targets = targets = targets.select(plan, *categories, share, size, floor)
+        known = rows.select(id_col, *categories).where(F.col(id_col).isNotNull()).join(targets.select(*categories).distinct(), categories, "left_semi")
+        one = known.groupBy(F.col(id_col).alias("__id")).agg(F.min(F.struct(*categories)).alias("__c"))
+        wanted = one.select(F.col("__id").alias(id_col), *[F.col("__c")[c].alias(c) for c in categories])
+        by_plan: dict = {}
+        for r in category_counts(wanted, targets, categories).orderBy(plan, *categories).toLocalIterator():
+            by_plan.setdefault(r[plan], []).append(r)
+        table, largest = [], 1
+        for p, rs in by_plan.items():
+            got = seats([r.available for r in rs], [float(r[share]) for r in rs], [r[floor] for r in rs], rs[0][size])
+            table += [(p, *[r[c] for c in categories], float(r[share]), r[floor], n) for r, n in zip(rs, got)]
+            largest = max(largest, *(r.available for r in rs))
+        fields = ", ".join([f"{plan} {targets.schema[plan].dataType.simpleString()}", *[f"{c} {targets.schema[c].dataType.simpleString()}" for c in categories], "__t double, __f int, __seats bigint"])
+        self.kept = spark.createDataFrame(table, fields)
+        self.ranked = random_rank(wanted, categories, [id_col], seed, largest=largest)
+        self.need = F.greatest(F.col(share) * F.col(size), F.col(floor).cast("decimal(20,4)"))
+
+    def rows(self) -> DataFrame:
+        """``(plan, id, categories..., rank, priority)`` of the sampled rows of each plan."""
+        priority = F.when(F.col("rank") <= F.col("__f"), F.lit(0.0)).otherwise((F.col("rank") - 0.5) / F.when(F.col("__t") > 0, F.col("__t")))
+        drawn = self.ranked.join(self.kept, self.categories).where("rank <= __seats")
+        return drawn.select(self.plan, self.id_col, *self.categories, "rank", priority.alias("priority"))
+
+    def report(self) -> DataFrame:
+        """``(plan, categories..., available, needed, drawn)``: a target is met if it has the rows it needs.
+
+        ``available`` is the last rank of the category, ``drawn`` the rows the plan has taken.
+        """
+        cats = self.categories
+        last = self.ranked.groupBy(*cats).agg(F.max("rank").alias("available"))
+        seated = self.kept.join(last, cats, "left").select(self.plan, *cats, F.coalesce("available", F.lit(0)).alias("available"), F.least("__seats", F.coalesce("available", F.lit(0))).alias("drawn"))
+        need = self.targets.select(self.plan, *cats, self.need.alias("needed"))
+        return seated.join(need, [self.plan, *cats]).select(self.plan, *cats, "available", "needed", "drawn")
+
+
+def shortfalls(rows: DataFrame, targets: DataFrame, id_col: str, categories: list[str], **names: str) -> DataFrame:
+    """Targets that the sample cannot meet: their ranks end before the greater of share x size and floor."""
+    return Sample(rows, targets, id_col, categories, **names).report().where("available < needed")
+
+
+def draw(rows: DataFrame, targets: DataFrame, id_col: str, categories: list[str], **names: str) -> DataFrame:
     """``(plan, id, categories..., rank, priority)`` of the sampled rows of each plan."""
-    spark = rows.sparkSession
-    rows = _distinct(rows, id_col, categories)
-    targets = targets.select(plan, *categories, share, size, floor)
-    by_plan: dict = {}
-    for r in category_counts(rows, targets, categories).orderBy(plan, *categories).toLocalIterator():
-        by_plan.setdefault(r[plan], []).append(r)
-    table = []
-    for p, rs in by_plan.items():
-        got = seats([r.available for r in rs], [float(r[share]) for r in rs], [r[floor] for r in rs], rs[0][size])
-        table += [(p, *[r[c] for c in categories], float(r[share]), r[floor], n) for r, n in zip(rs, got)]
-    fields = ", ".join([f"{plan} {targets.schema[plan].dataType.simpleString()}", *[f"{c} string" for c in categories], "__t double, __f int, __seats bigint"])
-    kept = spark.createDataFrame(table, fields)
-    wanted = rows.join(targets.select(*categories).distinct(), categories, "left_semi")
-    ranked = random_rank(wanted, categories, [id_col], seed)
-    priority = F.when(F.col("rank") <= F.col("__f"), F.lit(0.0)).otherwise((F.col("rank") - 0.5) / F.when(F.col("__t") > 0, F.col("__t")))
-    return ranked.join(kept, categories).where("rank <= __seats").select(plan, id_col, *categories, "rank", priority.alias("priority"))
+    return Sample(rows, targets, id_col, categories, **names).rows()

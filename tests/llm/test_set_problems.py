@@ -61,25 +61,55 @@ def test_names_of_columns_may_clash(spark):
     assert quota_sample.draw(rows, targets, "seats", ["t"]).count() == 5
 
 
-@given(st.lists(st.tuples(st.integers(1, 60), st.sampled_from("abc"), st.integers(1, 20)), min_size=1, max_size=15))
+def as_bundles(rows):
+    """(size, counts by label, groups) -> bundles."""
+    return [splits.Bundle(n, s * n, tuple(c * n for c in counts)) for s, counts, n in rows]
+
+
+@given(st.dictionaries(st.tuples(st.integers(0, 20), st.integers(0, 20), st.integers(0, 20)).filter(any), st.integers(1, 20), min_size=1, max_size=15))
 @settings(max_examples=60, deadline=None)
-def test_allocation_is_whole_and_near(bundles):
-    merged: Counter = Counter()
-    for s, x, n in bundles:
-        merged[s, x] += n
-    bundles = [(s, x, n) for (s, x), n in merged.items()]
-    out = splits.allocate(bundles, [0.8, 0.1, 0.1])
-    assert all(sum(take) == n and min(take) >= 0 for take, (_, _, n) in zip(out, bundles))
-    total = sum(s * n for s, _, n in bundles)
-    largest = max(s for s, _, _ in bundles)
+def test_allocation_is_whole_and_near(found):
+    rows = [(sum(c), c, n) for c, n in found.items()]
+    out = splits.allocate(as_bundles(rows), [0.8, 0.1, 0.1])
+    assert all(sum(take) == n and min(take) >= 0 for take, (_, _, n) in zip(out, rows))
+    total, largest = sum(s * n for s, _, n in rows), max(s for s, _, _ in rows)
     for j, p in enumerate((0.8, 0.1, 0.1)):
-        assert abs(sum(s * t[j] for t, (s, _, _) in zip(out, bundles)) - p * total) <= 2 * largest + 1
+        assert abs(sum(s * t[j] for t, (s, _, _) in zip(out, rows)) - p * total) <= 2 * largest + 1
 
 
 def test_quotas_are_met_around_a_large_group():
-    out = splits.allocate([(1041, "a", 1), (151, "a", 2), (9, "a", 60), (1, "a", 300), (1, "b", 100), (2, "b", 40)], [0.8, 0.1, 0.1])
-    sums = [sum(s * t[j] for t, s in zip(out, (1041, 151, 9, 1, 1, 2))) for j in range(3)]
+    rows = [(1041, (600, 441), 1), (151, (151, 0), 2), (9, (6, 3), 60), (1, (1, 0), 300), (1, (0, 1), 100), (2, (1, 1), 40)]
+    out = splits.allocate(as_bundles(rows), [0.8, 0.1, 0.1])
+    sums = [sum(s * t[j] for t, (s, _, _) in zip(out, rows)) for j in range(3)]
     assert sum(sums) == 2363 and abs(sums[0] - 1890) <= 2 and abs(sums[1] - 236) <= 2
+    for label in range(2):
+        of = [sum(c[label] * t[j] for t, (_, c, _) in zip(out, rows)) for j in range(3)]
+        assert abs(of[0] - 0.8 * sum(of)) <= 20 and abs(of[1] - 0.1 * sum(of)) <= 20
+
+
+def test_a_hundred_thousand_bundles_in_a_minute():
+    import time
+
+    rng = random.Random(1)
+    found = {}
+    while len(found) < 100_000:
+        size = min(int(rng.paretovariate(0.6)), 3_000_000)
+        cuts = sorted(rng.randint(0, size) for _ in range(4))
+        found[tuple(b - a for a, b in zip([0, *cuts], [*cuts, size]))] = max(1, int(1e6 / size**2))
+    rows = [(sum(c), c, n) for c, n in found.items()]
+    start = time.perf_counter()
+    out = splits.allocate(as_bundles(rows), [0.8, 0.1, 0.1])
+    assert time.perf_counter() - start < 60
+    total = sum(s * n for s, _, n in rows)
+    for label in range(5):
+        of = [sum(c[label] * int(t[j]) for t, (_, c, _) in zip(out, rows)) for j in range(3)]
+        assert all(abs(x - p * sum(of)) < 1e-3 * total for x, p in zip(of, (0.8, 0.1, 0.1)))
+
+
+def test_three_rows_of_one_record_are_one_component(spark):
+    rows = [("r", "a"), ("r", "b"), ("r", "c"), ("x", "b"), ("y", "c"), ("z", "d")]
+    got = {r.id: r.component for r in splits.linked_groups(spark.createDataFrame(rows, "id string, k string"), "id", ["k"]).collect()}
+    assert len(got) == 4 and got["r"] == got["x"] == got["y"] != got["z"]
 
 
 def test_min_cost_flow():
@@ -130,6 +160,11 @@ def test_draw_and_shortfalls(spark):
     assert sorted(map(tuple, got)) == sorted(map(tuple, quota_sample.draw(r.repartition(7), t, "id", ["mode", "tone"]).collect()))
     short = {(x.plan_id, x.tone) for x in quota_sample.shortfalls(r, t, "id", ["mode", "tone"]).collect()}
     assert short == {(1, "few"), (1, "none")}
+    both = r.union(spark.createDataFrame([("d0", "m", "few", 1)], r.schema))  # one id with two labels is drawn once
+    again = quota_sample.draw(both, t, "id", ["mode", "tone"]).collect()
+    assert len({(x.plan_id, x.id) for x in again}) == len(again) and ("few" in {x.tone for x in again if x.id == "d0"})
+    report = {(x.plan_id, x.tone): (x.available, x.drawn) for x in quota_sample.Sample(r, t, "id", ["mode", "tone"]).report().collect()}
+    assert report == {(1, "hot"): (900, 95), (1, "few"): (5, 5), (1, "none"): (0, 0), (2, "hot"): (900, 6), (2, "few"): (5, 4)}
     assert quota_sample.draw(r.where("false"), t, "id", ["mode", "tone"]).count() == 0
     assert quota_sample.shortfalls(r.where("false"), t, "id", ["mode", "tone"]).count() == 5
 
