@@ -11,7 +11,8 @@
 
 A pair of similarity s is a candidate with probability 1 - (1 - s^rows)^(SAMPLES // rows): with
 the default of 5 rows 0.994 at s = 0.6, 0.9997 at 0.65 and 0.99998 at 0.7. Buckets have no cap:
-an equi-join on the band with adaptive skew splitting takes large ones.
+an equi-join on the band with adaptive skew splitting takes large ones, and ``groups`` makes no
+pairs within texts that are already linked.
 
 The first four steps move 64-bit numbers only; texts are moved once to build the documents and
 again only for texts that are in a surviving pair.
@@ -170,28 +171,30 @@ def signatures(parts: DataFrame, k: int, rows: int) -> DataFrame:
 class NearDuplicates:
     """Classes of equal texts and verified pairs between their representatives.
 
-    ``members``: (id, rep) for every text with shingles; ``pairs``: (a, b) of representatives,
-    a < b, with the exact similarity.
+    ``members``: (id, rep) for every text with shingles. ``pairs``: (a, b, similarity) of
+    representatives, a < b. ``groups`` finds the classes of linked texts without making all pairs.
     """
 
     def __init__(self, parts: DataFrame, k: int = 5, threshold: float = 0.8, rows: int = 5):
-        spark = parts.sparkSession
-        self.scratch = Scratch(spark, "near-duplicates")
-        signed = self.scratch.table(signatures(parts, k, rows))
+        self.k, self.threshold, self.idt = k, threshold, parts.schema["id"].dataType
+        self.scratch = Scratch(parts.sparkSession, "near-duplicates")
+        # an exact number stands for each id while pairs are made
+        signed = self.scratch.table(signatures(parts, k, rows).withColumn("x", F.xxhash64(F.monotonically_increasing_id())))
         reps = signed.groupBy("c1", "c2").agg(F.min("id").alias("rep"))
         self.members = signed.select("id", "c1", "c2").join(reps, ["c1", "c2"]).select("id", "rep")
-        lone = signed.join(reps.select(F.col("rep").alias("id")), "id", "left_semi")
-        # numbers stand for ids while pairs are made
-        number = F.xxhash64("id").alias("x")
-        banded = lone.select(number, F.explode("bands").alias("band"))
-        other = banded.withColumnRenamed("x", "y")
-        candidates = banded.join(other, "band").where("x < y").select("x", "y").distinct()
+        self.lone = signed.join(reps.select(F.col("rep").alias("id")), "id", "left_semi")
+        self.banded = self.lone.select("x", F.explode("bands").alias("band"))
+        self._pairs: DataFrame | None = None
+
+    def verified(self, candidates: DataFrame) -> DataFrame:
+        """Of pairs of numbers (x, y) those that are near: first by the sketches, then exactly; (x, y, a, b, similarity)."""
+        lone, k, threshold = self.lone, self.k, self.threshold
 
         def with_distance(pairs: DataFrame, which: int) -> DataFrame:
             """Pairs that come with the distance ``d`` so far, and that of one more sketch added."""
             at = range(which * _WORDS, (which + 1) * _WORDS)
-            one = lone.select(number, *[F.col(f"s{i}") for i in at])
-            two = lone.select(number.alias("y"), *[F.col(f"s{i}").alias(f"t{i}") for i in at])
+            one = lone.select("x", *[F.col(f"s{i}") for i in at])
+            two = lone.select(F.col("x").alias("y"), *[F.col(f"s{i}").alias(f"t{i}") for i in at])
             d = F.col("d")
             for i in at:
                 d = d + F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"t{i}")))
@@ -201,31 +204,40 @@ class NearDuplicates:
         for which in range(SKETCHES):
             close = with_distance(close, which).where(F.col("d") <= largest_distance(threshold, which + 1))
         close = self.scratch.table(close.select("x", "y"))
-        text = lone.select(number, "id", "letters")
+        text = lone.select("x", "id", "letters")
         in_pair = close.select("x").union(close.select(F.col("y").alias("x"))).distinct()
         text = text.join(in_pair, "x", "left_semi")
         both = close.join(text.select("x", F.col("id").alias("ia"), F.col("letters").alias("la")), "x").join(
             text.select(F.col("x").alias("y"), F.col("id").alias("ib"), F.col("letters").alias("lb")), "y"
         )
-        idt = parts.schema["id"].dataType
-        schema = T.StructType([T.StructField("a", idt), T.StructField("b", idt), T.StructField("similarity", T.DoubleType())])
+        numbers = [T.StructField("x", T.LongType()), T.StructField("y", T.LongType())]
+        schema = T.StructType([*numbers, T.StructField("a", self.idt), T.StructField("b", self.idt), T.StructField("similarity", T.DoubleType())])
 
         def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 out = []
-                last, y = None, set()
-                for ia, la, ib, lb in zip(*(c.to_pylist() for c in b.columns)):
+                last, second = None, set()
+                for x, y, ia, la, ib, lb in zip(*(c.to_pylist() for c in b.columns)):
                     if ib != last:  # the join leaves equal ones together
-                        last, y = ib, shingle_set(lb, k)
-                    x = shingle_set(la, k)
-                    common = len(x & y)
-                    union = len(x) + len(y) - common
+                        last, second = ib, shingle_set(lb, k)
+                    first = shingle_set(la, k)
+                    common = len(first & second)
+                    union = len(first) + len(second) - common
                     if common >= threshold * union - 1e-9:
-                        out.append((min(ia, ib), max(ia, ib), common / union))
-                t = b.schema.field(0).type
-                yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], t), pa.array([o[1] for o in out], t), pa.array([o[2] for o in out], pa.float64())], names=["a", "b", "similarity"])
+                        out.append((x, y, min(ia, ib), max(ia, ib), common / union))
+                t = b.schema.field(2).type
+                kinds = (pa.int64(), pa.int64(), t, t, pa.float64())
+                yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], kind) for i, kind in enumerate(kinds)], names=schema.names)
+
+        return self.scratch.table(both.select("x", "y", "ia", "la", "ib", "lb").mapInArrow(check, schema))
 
-        self.pairs = self.scratch.table(both.select("ia", "la", "ib", "lb").mapInArrow(check, schema))
+    @property
+    def pairs(self) -> DataFrame:
+        if self._pairs is None:
+            other = self.banded.withColumnRenamed("x", "y")
+            candidates = self.banded.join(other, "band").where("x < y").select("x", "y").distinct()
+            self._pairs = self.verified(candidates).select("a", "b", "similarity")
+        return self._pairs
 
     def all_pairs(self) -> DataFrame:
         """(a, b) of ids, copies expanded: work and rows in proportion to the result."""
@@ -236,17 +248,33 @@ class NearDuplicates:
         return across.unionByName(within).select(F.least("ia", "ib").alias("a"), F.greatest("ia", "ib").alias("b"))
 
     def groups(self) -> DataFrame:
-        """(id, group_id, n_links): one row per text that is nearly the same as another.
+        """(id, group_id, group_size): one row per text that is nearly the same as another.
 
-        ``n_links`` counts the linked texts of the representative and the further copies.
+        A bucket of n texts costs n candidates first: every text with the smallest one of its
+        bucket. Texts so linked are one class. Only where a bucket still holds several classes are
+        the texts outside its largest class compared with those of other classes, so every link
+        that joins two classes is looked at, and a large group of texts all near each other makes
+        no pairs within.
         """
         from dialoom.operators.components import connected_components
 
-        pairs = self.pairs.select("a", "b")
-        group = connected_components(pairs, "a", "b").select(F.col("node").alias("rep"), "component")
-        sizes = self.members.groupBy("rep").agg(F.count("*").alias("copies"))
-        both = pairs.union(pairs.select("b", "a"))
-        links = both.join(sizes, F.col("b") == F.col("rep")).groupBy("a").agg(F.sum("copies").alias("links"))
-        rows = self.members.join(sizes, "rep").join(group, "rep", "left").join(links.withColumnRenamed("a", "rep"), "rep", "left")
-        n = F.col("copies") - 1 + F.coalesce("links", F.lit(0))
-        return rows.where("copies > 1 OR component IS NOT NULL").select("id", F.coalesce("component", "rep").alias("group_id"), n.alias("n_links"))
+        centre = self.banded.groupBy("band").agg(F.min("x").alias("centre"), F.count("*").alias("n")).where("n > 1")
+        centre = self.scratch.table(centre.select("band", "centre"))
+        star = self.banded.join(centre, "band").where("x <> centre").select(F.col("centre").alias("x"), F.col("x").alias("y")).distinct()
+        star = self.scratch.table(star)
+        first = self.verified(star)
+        class_of = connected_components(first, "x", "y").withColumnRenamed("node", "x")
+        tagged = self.banded.join(centre.select("band"), "band", "left_semi").join(class_of, "x", "left").select("band", "x", F.coalesce("component", "x").alias("c"))
+        tagged = self.scratch.table(tagged)
+        by_class = tagged.groupBy("band", "c").agg(F.count("*").alias("n"))
+        mixed = by_class.groupBy("band").agg(F.max_by("c", F.struct("n", "c")).alias("big"), F.count("*").alias("classes")).where("classes > 1").select("band", "big")
+        inside = tagged.join(mixed, "band")
+        outside = inside.where("c <> big").select("band", F.col("x").alias("y"), F.col("c").alias("d"))
+        across = inside.select("band", "x", "c").join(outside, "band").where("c <> d").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+        second = self.verified(across.join(star, ["x", "y"], "left_anti"))
+        links = first.select("a", "b").union(second.select("a", "b"))
+        group = connected_components(links, "a", "b").select(F.col("node").alias("rep"), "component")
+        rows = self.members.join(group, "rep", "left").select("id", F.coalesce("component", "rep").alias("group_id"))
+        rows = self.scratch.table(rows)
+        sizes = rows.groupBy("group_id").agg(F.count("*").alias("group_size")).where("group_size > 1")
+        return rows.join(sizes, "group_id").select("id", "group_id", "group_size")

@@ -164,6 +164,12 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return look_alike_pairs(read_table(spark, sf_dir, "documents"))
 
 
+def p8_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dialoom.llm.uniform import look_alike_groups
+
+    return look_alike_groups(read_table(spark, sf_dir, "documents"))
+
+
 def p8_uniform(spark: SparkSession, sf_dir: str) -> DataFrame:
     from dialoom.llm.uniform import uniform_text
 

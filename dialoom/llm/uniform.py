@@ -21,7 +21,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,7 +47,8 @@ LOOK_ALIKES = {
 }
 
 # Kana that look like ideographs or like the other kana. They are replaced last, when
-# voicing marks have joined their kana.
+# voicing marks have joined their kana, so that texts can be compared; for reading, those that
+# stand beside other katakana and before no ideograph become katakana again.
 KANA = {"ニ": "二", "ロ": "口", "ハ": "八", "カ": "力", "タ": "夕", "エ": "工", "ト": "卜", "ヘ": "へ", "ペ": "ぺ", "ベ": "べ"}
 
 #: Characters that show nothing.
@@ -109,14 +110,27 @@ def uniform_sql(column: str, table: str, more: str = "") -> str:
     return f"{more}translate({whole}, {quote(''.join(KANA))}, {quote(''.join(KANA.values()))}) AS t FROM {inner}"
 
 
+def readable_sql(t: str) -> str:
+    """A uniform form for reading: it depends on the compared form ``t`` alone, so equal stays equal."""
+    quote = lambda s: "'" + s + "'"
+    x = t
+    for _ in range(2):  # runs of several such letters
+        for kana, other in KANA.items():
+            x = f"regexp_replace({x}, {quote(f'([{{k}}]){other}([^{{h}}]|[{{l}}]|$)')}, {quote(chr(92) + '1' + kana + chr(92) + '2')}, 'g')"
+            x = f"regexp_replace({x}, {quote(f'(^|[^{{h}}{{k}}]|[{{l}}]){other}([{{k}}])')}, {quote(chr(92) + '1' + kana + chr(92) + '2')}, 'g')"
+    x = x.replace("{k}", "\\p{Katakana}ー").replace("{h}", "\\p{Han}").replace("{l}", "".join(c for c in KANA.values() if c >= "\u4e00"))
+    return f"CASE WHEN regexp_matches({t}, '[\\p{{Katakana}}]') THEN {x} ELSE {t} END"
+
+
 class Uniform:
     """The embedded SQL over one Arrow column; one per Python worker and task."""
 
-    def __init__(self) -> None:
+    def __init__(self, readable: bool = False) -> None:
         import duckdb
 
         self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "1GB"})
-        self.sql = f"SELECT {uniform_sql('t', 'batch')} ORDER BY i"
+        compared = f"SELECT {uniform_sql('t', 'batch', 'i, ')}"
+        self.sql = f"SELECT {readable_sql('t')} AS t FROM ({compared}) ORDER BY i" if readable else f"{compared} ORDER BY i"
 
     def __call__(self, column: pa.Array) -> pa.Array:
         parts = [pa.array([], pa.string())]
@@ -128,8 +142,12 @@ class Uniform:
         return pa.concat_arrays([x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in parts])
 
 
-def uniform_text(df: DataFrame, text: str = "text", out: str = "uniform_text") -> DataFrame:
-    """``df`` with the column ``out`` holding the uniform form of ``text``."""
+def uniform_text(df: DataFrame, text: str = "text", out: str = "uniform_text", readable: bool = True) -> DataFrame:
+    """``df`` with the column ``out`` holding the uniform form of ``text``.
+
+    With ``readable``, katakana that look like ideographs stay katakana within words of katakana;
+    without, they are ideographs, as for comparing. Both forms are equal for the same texts.
+    """
     ship_package(df.sparkSession)
     base = df.drop(out) if out != text else df
     at = base.columns.index(text)
@@ -137,25 +155,18 @@ def uniform_text(df: DataFrame, text: str = "text", out: str = "uniform_text") -
     schema = T.StructType([base.schema.fields[k] for k in others] + [T.StructField(out, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        uniform = Uniform()
+        uniform = Uniform(readable)
         for b in batches:
             yield pa.RecordBatch.from_arrays([*[b.column(k) for k in others], uniform(b.column(at))], names=schema.names)
 
     return spread(base).mapInArrow(run, schema)
 
 
-def look_alike_pairs(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Pairs ``(<id>_a, <id>_b)``, smaller id first, of texts that differ by code points only.
-
-    One shuffle of (id, two fingerprints of 128 bits); the texts stay in the scan. Pairs are
-    formed between different texts of one key: never within exact copies.
-    """
+def _fingerprints(df: DataFrame, id_col: str, text: str) -> DataFrame:
+    """``(id, k1, k2, r1, r2)``: fingerprints of 128 bits of the uniform form and of the text as it is; blank texts are left out."""
     spark = df.sparkSession
     ship_package(spark)
-    idt = df.schema[id_col].dataType
-    schema = T.StructType(
-        [T.StructField("id", idt)] + [T.StructField(x, T.LongType()) for x in ("k1", "k2", "r1", "r2")]
-    )
+    schema = T.StructType([T.StructField("id", df.schema[id_col].dataType)] + [T.StructField(x, T.LongType()) for x in ("k1", "k2", "r1", "r2")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -175,12 +186,35 @@ def look_alike_pairs(df: DataFrame, id_col: str = "doc_id", text: str = "text")
             )
 
     rows = df.select(F.col(id_col).alias("id"), F.col(text).alias("t")).where("t IS NOT NULL AND id IS NOT NULL")
-    prints = spread(rows).mapInArrow(run, schema)
-    prints = Scratch(spark, "look-alikes").table(prints)  # read four times below, made once
+    return Scratch(spark, "look-alikes").table(spread(rows).mapInArrow(run, schema))  # read several times, made once
+
+
+def look_alike_groups(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(<id>, group_id, variants, n_links)``: one row per text that reads the same as a different one.
+
+    ``group_id`` is the smallest id of those that read the same, ``variants`` the number of their
+    different texts, ``n_links`` the ids whose text differs from this one. Work in proportion to
+    the rows, whatever the size of a group.
+    """
+    prints = _fingerprints(df, id_col, text).distinct()
+    key, variant = ["k1", "k2"], ["k1", "k2", "r1", "r2"]
+    by_text = prints.groupBy(*variant).agg(F.count("*").alias("same"), F.min("id").alias("least"))
+    by_key = by_text.groupBy(*key).agg(F.count("*").alias("variants"), F.sum("same").alias("all"), F.min("least").alias("group_id")).where("variants > 1")
+    sized = by_text.join(by_key, key).select(*variant, "group_id", "variants", (F.col("all") - F.col("same")).alias("n_links"))
+    return prints.join(sized, variant).select(F.col("id").alias(id_col), "group_id", "variants", "n_links")
+
+
+def look_alike_pairs(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """Pairs ``(<id>_a, <id>_b)``, smaller id first, of texts that differ by code points only.
+
+    One shuffle of (id, two fingerprints of 128 bits); the texts stay in the scan. Pairs are
+    formed between different texts of one key: never within exact copies.
+    """
+    prints = _fingerprints(df, id_col, text)
     key, variant = ["k1", "k2"], ["k1", "k2", "r1", "r2"]
     # one row per different text of a key; a key with one text, however often, ends here
     variants = prints.select(*variant).distinct()
-    several = variants.withColumn("n", F.count("*").over(Window.partitionBy(*key))).where("n > 1").drop("n")
+    several = variants.join(variants.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(*key), key)
     a = several.select(*key, F.col("r1").alias("a1"), F.col("r2").alias("a2"))
     b = several.select(*key, F.col("r1").alias("b1"), F.col("r2").alias("b2"))
     of_texts = a.join(b, key).where("a1 < b1 OR (a1 = b1 AND a2 < b2)")

@@ -202,10 +202,19 @@ def test_near_duplicates_against_all_pairs(spark):
     clean = {i: letters(t) for i, t in rows}
     want = {(a, b) for a in clean for b in clean if a < b and jaccard(clean[a], clean[b]) >= 0.6}
     assert got == want and len(want) > 60 * 59 // 2
-    groups = {r.id: (r.group_id, r.n_links) for r in nd.groups().collect()}
-    links = Counter(x for p in want for x in p)
-    assert {i: n for i, (_, n) in groups.items()} == dict(links)
+    groups = {r.id: (r.group_id, r.group_size) for r in nd.groups().collect()}
+    assert set(groups) == {x for p in want for x in p}
     assert all(groups[a][0] == groups[b][0] for a, b in want)
+    members = defaultdict(set)
+    for i, (g, _) in groups.items():
+        members[g].add(i)
+    linked = lambda g: {x for p in want if p[0] in g or p[1] in g for x in p}
+    for g, m in members.items():
+        reached = {g}
+        while (more := linked(reached) | reached) != reached:
+            reached = more
+        assert g == min(m) and reached == m and all(groups[i][1] == len(m) for i in m)
+    assert neardup.NearDuplicates(df.where("false")).groups().count() == 0
     assert neardup.NearDuplicates(df.where("false")).all_pairs().count() == 0
 
 
