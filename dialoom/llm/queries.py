@@ -182,8 +182,6 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     """SQL of what SQL can say over whole tables; it looks at every window, pair or path."""
-    from dialoom.llm.uniform import uniform_sql
-
     full, half = "".join(chr(c) for c in range(0xFF01, 0xFF5F)).replace("'", "''"), "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)).replace("'", "''")
     wide = lambda x: f"translate({x}, '{full}', '{half}')"
     label = lambda x: f"lower(regexp_replace({wide(x)}, '[^\\p{{L}}\\p{{N}}]+', '', 'g'))"
@@ -215,8 +213,35 @@ def oracle_sql() -> dict[str, str]:
         n AS (SELECT dialogue_id, count(*) AS n FROM g GROUP BY dialogue_id),
         o AS (SELECT a.dialogue_id AS a, b.dialogue_id AS b, count(*) AS c FROM g a JOIN g b ON a.x = b.x AND a.dialogue_id < b.dialogue_id GROUP BY ALL)
         SELECT a AS dialogue_id_a, b AS dialogue_id_b FROM o JOIN n p ON p.dialogue_id = a JOIN n q ON q.dialogue_id = b WHERE c >= 0.6 * (p.n + q.n - c)"""
-    doc = f"u AS (SELECT {uniform_sql('text', 'documents', 'doc_id, text, ')})"
-    item = f"v AS (SELECT {uniform_sql('text', 'eval_items', 'item_id, lang, ')})"
+    # the same reading forms written down on their own, for the characters the tables hold
+    shapes = (
+        "АВЕКМНОРСТУХІЅЈаеорсухіѕј" + "ΑΒΕΖΗΙΚΜΝΟΡΤΧΥο" + "ёЁѐЀїЇ" + "όΌΆΈΊ" + "‐‑" + "⼀⼆⼈⼊⼋⼒⼗⼝⼟⼠⼤⼥⼦⼩⼭⼯⼰⼱⼲⼸⼼⼿⽀⽂⽄⽅⽇⽉⽊⽋⽌⽐⽑⽒⽔⽕⽗⽚⽛⽜⽝⽟⽠⽡⽢⽣⽤⽥⽩⽪⽫⽬⽭⽮⽯⽰⽲⽳⽴⽵⽶⽷⽸⽺⽻⽼⽽⽿⾁⾃⾄⾅⾆⾈⾊⾍⾏⾐⾓⾔⾕⾖⾛⾜⾝⾞⾟⾢⾥⾦⾨⾬⾮⾯⾳⾶⾷⾸⾹⾺⾻⾼",
+        "ABEKMHOPCTYXISJaeopcyxisj" + "ABEZHIKMNOPTXYo" + "ëËèÈïÏ" + "óÓÁÉÍ" + "--" + "一二人入八力十口土士大女子小山工己巾干弓心手支文斗方日月木欠止比毛氏水火父片牙牛犬玉瓜瓦甘生用田白皮皿目矛矢石示禾穴立竹米糸缶羊羽老而耳肉自至臼舌舟色虫行衣角言谷豆走足身車辛邑里金門雨非面音飛食首香馬骨高",
+    )
+    kana_half = "｡｢｣､･ｦｧｨｩｪｫｬｭｮｯｰｱｲｳｴｵｶｷｸｹｺｻｼｽｾｿﾀﾁﾂﾃﾄﾅﾆﾇﾈﾉﾊﾋﾌﾍﾎﾏﾐﾑﾒﾓﾔﾕﾖﾗﾘﾙﾚﾛﾜﾝﾞﾟ"
+    kana_full = "。「」、・ヲァィゥェォャュョッーアイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミムメモヤユヨラリルレロワン\u3099\u309a"
+    blanks = "\u00a0\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000\t"
+    unseen = "[\u00ad\u034f\u180e\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufeff\ufe00-\ufe0f]"
+
+    def reads(x: str) -> str:
+        plain = f"translate({wide(f'translate({x}, {chr(39)}{blanks}{chr(39)}, {chr(39)}{len(blanks) * chr(32)}{chr(39)})')}, '{kana_half}', '{kana_full}')"
+        shaped = f"translate(nfc_normalize(translate(nfc_normalize(regexp_replace({plain}, '{unseen}', '', 'g')), '{shapes[0]}', '{shapes[1]}')), '{shapes[0]}', '{shapes[1]}')"
+        for a, b in (("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl")):
+            shaped = f"replace({shaped}, '{a}', '{b}')"
+        return f"translate(replace(replace({shaped}, chr(13) || chr(10), chr(10)), chr(13), chr(10)), 'ニロハカタエトヘペベ', '二口八力夕工卜へぺべ')"
+
+    doc = f"u AS (SELECT doc_id, text, {reads('text')} AS t FROM documents)"
+    item = f"v AS (SELECT item_id, lang, {reads('text')} AS t FROM eval_items)"
+    # katakana again: in a stretch with other katakana, but for those next to an ideograph outside
+    pieces = "regexp_extract_all(t, '[\\p{Katakana}ー二口八力夕工卜]+|[^\\p{Katakana}ー二口八力夕工卜]+')"
+    back = "translate(y, '二口八力夕工卜', 'ニロハカタエト')"
+    left = "CASE WHEN i > 1 AND regexp_matches(l[i - 1], '\\p{Han}$') THEN regexp_extract(x, '^[二口八力夕工卜]*') ELSE '' END"
+    right = "CASE WHEN i < len(l) AND regexp_matches(l[i + 1], '^\\p{Han}') THEN regexp_extract(x, '[二口八力夕工卜]*$') ELSE '' END"
+    core = back.replace("y", f"substr(x, length({left}) + 1, length(x) - length({left}) - length({right}))")
+    word = f"list_transform(l, lambda x, i: CASE WHEN regexp_matches(x, '[\\p{{Katakana}}]') THEN {left} || {core} || {right} ELSE x END)"
+    he = "array_to_string(w, '')"
+    for a, b in ("へヘ", "ぺペ", "べベ"):
+        he = f"regexp_replace({he}, '(^|[^\\p{{Han}}\\p{{Katakana}}ー]){a}([\\p{{Katakana}}ー])', '\\1{b}\\2', 'g')"
     leak = f"""WITH {doc}, {item}, dl AS (SELECT doc_id, {letters('t')} AS l FROM u WHERE t IS NOT NULL),
         il AS (SELECT item_id, {letters('t')} AS l, CASE lang WHEN 'zh' THEN 30 ELSE 60 END AS n FROM v WHERE t IS NOT NULL),
         iw AS (SELECT DISTINCT item_id, n, substr(l, i, n) AS w FROM (SELECT *, unnest(range(1, length(l) - n + 2)) AS i FROM il WHERE length(l) >= n)),
@@ -226,6 +251,8 @@ def oracle_sql() -> dict[str, str]:
         "p1_found": f"""WITH RECURSIVE {jobs}, reach(x, y) AS (SELECT a, b FROM b UNION SELECT r.x, b.b FROM reach r JOIN b ON r.y = b.a),
             g AS (SELECT x, min(substr(y, 2)) FILTER (y LIKE 'c%') AS group_id FROM reach GROUP BY x) SELECT dialogue_id, group_id FROM q JOIN g ON g.x = 'c' || c""",
         "p3_found": near,
+        "p3_groups": f"""WITH RECURSIVE pr AS ({near}), b AS (SELECT dialogue_id_a AS x, dialogue_id_b AS y FROM pr UNION SELECT dialogue_id_b, dialogue_id_a FROM pr), reach(x, y) AS (SELECT x, y FROM b UNION SELECT r.x, b.y FROM reach r JOIN b ON r.y = b.x)
+            SELECT x AS dialogue_id, least(x, min(y)) AS group_id, count(DISTINCT y) AS group_size FROM reach GROUP BY x""",
         "p4_found": f"""WITH {labelled} SELECT plan_id, mode, tone FROM sampling_targets LEFT JOIN n ON mk = {label('mode')} AND tk = {label('tone')}
             WHERE coalesce(available, 0) < greatest(share * sample_size, min_rows)""",
         # the three splits with what they keep; the counts come from the table
@@ -238,5 +265,8 @@ def oracle_sql() -> dict[str, str]:
         "p5_share": f"{share} SELECT * FROM s",
         "p7_found": leak,
         "p8_found": f"""WITH {doc} SELECT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM u a JOIN u b ON a.t = b.t AND a.doc_id < b.doc_id AND a.text <> b.text WHERE regexp_matches(a.t, '\\S')""",
-        "p8_uniform": f"WITH {doc} SELECT doc_id, t AS uniform_text FROM u",
+        "p8_groups": f"""WITH {doc}, k AS (SELECT t, min(doc_id) AS group_id, count(DISTINCT text) AS variants, count(*) AS n FROM u WHERE regexp_matches(t, '\\S') GROUP BY t HAVING count(DISTINCT text) > 1),
+            s AS (SELECT text, count(*) AS same FROM u GROUP BY text) SELECT doc_id, group_id, variants, n - same AS n_links FROM u JOIN k USING (t) JOIN s USING (text)""",
+        "p8_uniform": f"""WITH {doc}, p AS (SELECT doc_id, t, {pieces} AS l FROM u), q AS (SELECT doc_id, t, {word} AS w FROM p)
+            SELECT doc_id, CASE WHEN regexp_matches(t, '[\\p{{Katakana}}]') THEN {he} ELSE t END AS uniform_text FROM q""",
     }

@@ -116,7 +116,8 @@ def readable_sql(t: str) -> str:
     x = t
     for _ in range(2):  # runs of several such letters
         for kana, other in KANA.items():
-            x = f"regexp_replace({x}, {quote(f'([{{k}}]){other}([^{{h}}]|[{{l}}]|$)')}, {quote(chr(92) + '1' + kana + chr(92) + '2')}, 'g')"
+            if other >= "\u4e00":  # the hiragana among them are also a particle behind katakana
+                x = f"regexp_replace({x}, {quote(f'([{{k}}]){other}([^{{h}}]|[{{l}}]|$)')}, {quote(chr(92) + '1' + kana + chr(92) + '2')}, 'g')"
             x = f"regexp_replace({x}, {quote(f'(^|[^{{h}}{{k}}]|[{{l}}]){other}([{{k}}])')}, {quote(chr(92) + '1' + kana + chr(92) + '2')}, 'g')"
     x = x.replace("{k}", "\\p{Katakana}ー").replace("{h}", "\\p{Han}").replace("{l}", "".join(c for c in KANA.values() if c >= "\u4e00"))
     return f"CASE WHEN regexp_matches({t}, '[\\p{{Katakana}}]') THEN {x} ELSE {t} END"
