@@ -181,8 +181,12 @@ class NearDuplicates:
         # an exact number stands for each id while pairs are made
         signed = self.scratch.table(signatures(parts, k, rows).withColumn("x", F.xxhash64(F.monotonically_increasing_id())))
         reps = signed.groupBy("c1", "c2").agg(F.min("id").alias("rep"))
-        self.members = signed.select("id", "c1", "c2").join(reps, ["c1", "c2"]).select("id", "rep")
-        self.lone = signed.join(reps.select(F.col("rep").alias("id")), "id", "left_semi")
+        named = signed.select("id", "x", "c1", "c2").join(reps, ["c1", "c2"]).select("id", "x", "rep")
+        named = self.scratch.table(named)
+        self.members = named.select("id", "rep")
+        # copies are mostly few: written down, Spark knows their size and need not move all texts to drop them
+        copies = self.scratch.table(named.where("id <> rep").select("x"))
+        self.lone = signed.join(copies, "x", "left_anti")
         self.banded = self.lone.select("x", F.explode("bands").alias("band"))
         self._pairs: DataFrame | None = None
 
