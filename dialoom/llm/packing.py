@@ -5,11 +5,13 @@ capacity is cut: full pieces take a container each, the rest is an item like any
 
 Documents are dealt into blocks of about ``block_rows`` by a hash, so that a block is bounded
 whatever the table. Each block is packed by several islands, each in a row (and so a task) of its
-own. An island evolves a small population of packings: crossover injects whole well-filled
-containers of one packing into another, drops the containers they collide with and puts the
-displaced items back by best fit; mutation empties badly filled containers. After each epoch the
-best packing of an island migrates to the next one of the block, in a ring; at the end the best of
-all islands is kept. Every number is drawn from a generator seeded by block and island, so a
+own. An island evolves a small population of packings, which it keeps from epoch to epoch:
+crossover injects whole well-filled containers of one packing into another, drops the containers
+they collide with and puts the displaced items back by best fit; mutation empties badly filled
+containers and some others and fills them anew as full as one, two or three items make them. After
+each epoch the best packing of an island migrates to the next one of the block, in a ring, and
+takes the place of its worst; at the end the best of all islands is kept. An island rests when no
+packing can have fewer containers, or when nothing has improved for ``PATIENCE`` generations. Every number is drawn from a generator seeded by block and island, so a
 lost task is repeated with the same result.
 
 A population costs as much as its block, and blocks are independent, so the work grows in
@@ -24,18 +26,23 @@ capacities below 1 raise ValueError; further columns are ignored.
 from __future__ import annotations
 
 import base64
+import os
 import random
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dialoom.session import Scratch, ship_package, spread
 
+#: Generations without a better packing after which an island waits for the next migration.
+PATIENCE = 8
+
 #: Fixed value: the public pre-tokenization pattern that belongs to the vocabulary file.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
@@ -50,17 +57,28 @@ def _encoding(path: str, pattern: str):
     return tiktoken.Encoding("public", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def ship_tokenizer(spark: SparkSession, tokenizer: str) -> str:
+    """Sends the vocabulary file to the executors; its name there."""
+    where = tokenizer if "://" in tokenizer else f"file://{os.path.abspath(tokenizer)}"
+    spark.sparkContext.addFile(where)
+    return os.path.basename(tokenizer)
+
+
 def token_counts(docs: DataFrame, id_col: str, text: str, tokenizer: str = TOKENIZER, pattern: str = PATTERN) -> DataFrame:
     """``(id, n)``: tokens of each row's text."""
     ship_package(docs.sparkSession)
+    name = ship_tokenizer(docs.sparkSession, tokenizer)
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("n", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import SparkFiles
+
         from dialoom.llm import packing
 
-        encode = packing._encoding(tokenizer, pattern).encode_ordinary
+        where = SparkFiles.get(name)
+        encode = packing._encoding(where, pattern).encode_ordinary_batch
         for b in batches:
-            n = [len(encode(t.as_py())) if t.is_valid else 0 for t in b.column(1)]
+            n = [len(x) for x in encode([t or "" for t in b.column(1).to_pylist()], num_threads=1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64())], names=["id", "n"])
 
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text).alias("t"))
@@ -116,18 +134,80 @@ def crossover(a: Packing, b: Packing, sizes: list[int], capacity: int, rng: rand
     return bins, room
 
 
+def tight_fit(items: list[int], sizes: list[int], capacity: int, bins: list[list[int]], room: list[int]) -> None:
+    """Opens containers, each with the largest item left and the one, two or three that fill it best."""
+    count, by_size = np.zeros(capacity + 1, np.int64), {}
+    for x in items:
+        count[sizes[x]] += 1
+        by_size.setdefault(sizes[x], []).append(x)
+    nothing = by_size.pop(0, [])
+    count[0] = 0
+    left = len(items) - len(nothing)
+    at = np.arange(capacity + 1)
+    while left:
+        s = int(np.flatnonzero(count)[-1])
+        inside, r, take = [], capacity, [s]
+        while take:
+            for s in take:
+                inside.append(by_size[s].pop())
+                count[s] -= 1
+                r -= s
+            left -= len(take)
+            take = _best_three(count, at, r) if r and left else []
+        bins.append(inside)
+        room.append(r)
+    if nothing:
+        if not bins:
+            bins.append([])
+            room.append(capacity)
+        bins[-1].extend(nothing)
+
+
+def _best_three(count: np.ndarray, at: np.ndarray, r: int) -> list[int]:
+    """At most three sizes at hand with the greatest sum up to r, few and large ones first."""
+    s = np.flatnonzero(count[: r + 1])
+    if not len(s):
+        return []
+
+    def two(q: int) -> list[int]:
+        fit = s[: np.searchsorted(s, q, "right")]
+        fit = fit[count[fit] > 0]
+        if not len(fit):
+            return []
+        below = np.maximum.accumulate(np.where(count[: q + 1] > 0, at[: q + 1], 0))
+        other = below[q - fit]
+        other = np.where((other == fit) & (count[fit] < 2), 0, other)
+        k = int((fit + other).argmax())
+        return [int(x) for x in (fit[k], other[k]) if x]
+
+    best = two(r)
+    if sum(best) < r and len(s) > 2:
+        for p in s[: -TRIED - 1 : -1].tolist():
+            count[p] -= 1
+            found = [p, *two(r - p)] if p < r else [p]
+            count[p] += 1
+            if sum(found) > sum(best):
+                best = found
+                if sum(best) == r:
+                    break
+    return best
+
+
+#: Sizes tried as the largest of three.
+TRIED = 12
+
+
 def mutate(p: Packing, sizes: list[int], capacity: int, rng: random.Random) -> Packing:
-    """Empties some badly filled containers and a few others and packs their items again."""
+    """Empties badly filled containers and some others and fills them anew as full as can be."""
     bins, room = p
     if not bins:
         return p
     ranked = sorted(range(len(bins)), key=lambda i: -room[i])
-    out = set(ranked[: rng.randint(1, 1 + len(ranked) // 20)]) | {rng.randrange(len(bins)) for _ in range(1 + len(bins) // 25)}
-    loose = [x for i in out for x in bins[i]]
-    loose.sort(key=lambda x: -sizes[x] * rng.uniform(0.9, 1.0))
-    kept = [(list(b), r) for i, (b, r) in enumerate(zip(bins, room)) if i not in out]
-    bins, room = [b for b, _ in kept], [r for _, r in kept]
-    best_fit(loose, sizes, capacity, bins, room)
+    out = set(ranked[: rng.randint(1, 1 + len(ranked) // 12)]) | {rng.randrange(len(bins)) for _ in range(1 + len(bins) // 12)}
+    loose = [x for i in sorted(out) for x in bins[i]]
+    kept = [i for i in range(len(bins)) if i not in out]
+    bins, room = [bins[i] for i in kept], [room[i] for i in kept]
+    tight_fit(loose, sizes, capacity, bins, room)
     return bins, room
 
 
@@ -147,35 +227,43 @@ def _assignment(p: Packing, n: int) -> list[int]:
     return out
 
 
-def evolve(sizes: list[int], capacity: int, seed: str, guests: list[list[int]], population: int, generations: int) -> tuple[list[int], float]:
-    """One epoch of an island: (container of each item, fitness) of its best packing."""
+def evolve(sizes: list[int], capacity: int, seed: str, guests: list[list[int]], population: int, generations: int) -> tuple[list[list[int]], float]:
+    """One epoch of an island: its packings (container of each item), the best first, and the fitness of that."""
     rng = random.Random(seed)
     n = len(sizes)
     if not n:
-        return [], 1.0
+        return [[]], 1.0
     pool: list[tuple[float, Packing]] = []
     for g in guests:
         p = _packed(g, sizes, capacity)
         pool.append((fitness(p[1], capacity), p))
-    bound = -(-sum(sizes) // capacity)
+    bound = max(1, -(-sum(sizes) // capacity))
+    falling = sorted(range(n), key=lambda x: -sizes[x])
     for k in range(len(pool), population):
-        # the first by decreasing size, the others nearly so
-        order = sorted(range(n), key=(lambda x: -sizes[x]) if k == 0 else (lambda x: -sizes[x] * rng.uniform(0.7, 1.0)))
         p: Packing = ([], [])
-        best_fit(order, sizes, capacity, *p)
+        if k == 1:
+            tight_fit(falling, sizes, capacity, *p)
+        else:
+            # the first by decreasing size, the others nearly so
+            best_fit(falling if k == 0 else sorted(range(n), key=lambda x: -sizes[x] * rng.uniform(0.9, 1.0)), sizes, capacity, *p)
         pool.append((fitness(p[1], capacity), p))
+        if len(p[1]) <= bound:
+            break
+    # fewer containers first, then the fuller ones
+    rank = lambda f: (len(f[1][1]), -f[0])
+    idle = 0
     for _ in range(generations):
-        pool.sort(key=lambda f: -f[0])
-        best = pool[0][1]
-        if len(best[1]) <= max(bound, 1):
-            break  # no packing has fewer containers
-        a, b = pool[rng.randrange(max(1, population // 2))][1], pool[rng.randrange(population)][1]
+        pool.sort(key=rank)
+        if len(pool[0][1][1]) <= bound or idle >= PATIENCE:
+            break
+        a, b = pool[rng.randrange(max(1, len(pool) // 2))][1], pool[rng.randrange(len(pool))][1]
         child = mutate(crossover(a, b, sizes, capacity, rng), sizes, capacity, rng)
-        f = fitness(child[1], capacity)
-        if f > pool[-1][0]:
-            pool[-1] = (f, child)
-    f, p = max(pool, key=lambda x: x[0])
-    return _assignment(p, n), f
+        new = (fitness(child[1], capacity), child)
+        idle = 0 if rank(new) < rank(pool[0]) else idle + 1
+        if rank(new) < rank(pool[-1]):
+            pool[-1] = new
+    pool.sort(key=rank)
+    return [_assignment(p, n) for _, p in pool[:population]], pool[0][0]
 
 
 # --- the operator --------------------------------------------------------------------------
@@ -192,9 +280,9 @@ def pack(
     pattern: str = PATTERN,
     block_rows: int = 2000,
     islands: int = 3,
-    epochs: int = 2,
-    population: int = 5,
-    generations: int = 10,
+    epochs: int = 3,
+    population: int = 4,
+    generations: int = 16,
 ) -> DataFrame:
     """``(pack_id, <id>, piece, first_token, n_tokens, container, place)``, one row per piece.
 
@@ -215,7 +303,7 @@ def pack(
     state = pieces.withColumn("guests", F.lit(None).cast("array<array<int>>")).withColumn("island", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))))
     evolved = T.StructType(
         [T.StructField("pack", pt), T.StructField("cap", T.LongType()), T.StructField("block", T.LongType()), T.StructField("island", T.IntegerType()),
-         T.StructField("best", T.ArrayType(T.IntegerType())), T.StructField("fitness", T.DoubleType())]
+         T.StructField("pool", T.ArrayType(T.ArrayType(T.IntegerType()))), T.StructField("containers", T.IntegerType()), T.StructField("fitness", T.DoubleType())]
     )
 
     def one_epoch(epoch: int):
@@ -225,9 +313,10 @@ def pack(
                     b = whole.slice(lo, 1)
                     r = b.to_pylist()[0]
                     rest = [n % r["cap"] if n > r["cap"] else n for n in r["ns"]]
-                    best, fit = evolve(rest, r["cap"], f"{r['block']}/{r['pack']}/{r['island']}/{epoch}", r["guests"] or [], population, generations)
+                    pool, fit = evolve(rest, r["cap"], f"{r['block']}/{r['pack']}/{r['island']}/{epoch}", r["guests"] or [], population, generations)
                     yield pa.RecordBatch.from_arrays(
-                        [b.column(0), b.column(1), b.column(2), b.column(3), pa.array([best], pa.list_(pa.int32())), pa.array([fit], pa.float64())], names=evolved.names
+                        [b.column(0), b.column(1), b.column(2), b.column(3), pa.array([pool], pa.list_(pa.list_(pa.int32()))), pa.array([max(pool[0], default=-1) + 1], pa.int32()), pa.array([fit], pa.float64())],
+                        names=evolved.names,
                     )
 
         return run
@@ -239,11 +328,12 @@ def pack(
         spread = state.select(*key, "island", "ns", "guests").repartition(wide, "block", "pack", "island")
         result = scratch.table(spread.mapInArrow(one_epoch(epoch), evolved))
         if epoch + 1 < epochs:
-            own = result.select(*key, "island", F.col("best").alias("own"))
-            from_left = result.select(*key, F.pmod(F.col("island") + 1, F.lit(islands)).alias("island"), F.col("best").alias("elite"))
-            met = own.join(from_left, [*key, "island"]).select(*key, "island", F.array("own", "elite").alias("guests"))
+            own = result.select(*key, "island", F.col("pool").alias("own"))
+            from_left = result.select(*key, F.pmod(F.col("island") + 1, F.lit(islands)).alias("island"), F.col("pool")[0].alias("elite"))
+            kept = F.slice("own", 1, F.greatest(F.lit(1), F.least(F.size("own"), F.lit(population - 1))))
+            met = own.join(from_left, [*key, "island"]).select(*key, "island", F.concat(kept, F.array("elite")).alias("guests"))
             state = pieces.join(met, key)
-    winner = result.groupBy(*key).agg(F.max_by("best", F.struct("fitness", -F.col("island"))).alias("best"))
+    winner = result.groupBy(*key).agg(F.max_by(F.col("pool")[0], F.struct(-F.col("containers"), F.col("fitness"), -F.col("island"))).alias("best"))
     final = pieces.join(winner, key)
     out = T.StructType(
         [T.StructField(pack_id, pt), T.StructField(id_col, idt), T.StructField("piece", T.IntegerType()), T.StructField("first_token", T.LongType()),

@@ -148,6 +148,18 @@ def p6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "pack_sizes"))
 
 
+def p6_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the packing, one row per container size: every document once, nothing too full, nothing cut that fits, no gap."""
+    sizes = read_table(spark, sf_dir, "pack_sizes").select("pack_id", F.col("capacity_tokens").alias("cap"))
+    rows = Scratch(spark, "contract").table(p6_pack(spark, sf_dir).join(F.broadcast(sizes) if sizes.count() < 1000 else sizes, "pack_id"))
+    by_doc = rows.groupBy("pack_id", "doc_id").agg(F.count("*").alias("k"), F.sum("n_tokens").alias("n"), F.max(F.col("first_token") + F.col("n_tokens")).alias("end"), F.max("cap").alias("cap"))
+    bad = lambda c: F.sum(F.expr(c).cast("bigint"))
+    docs = by_doc.groupBy("pack_id").agg(F.count("*").alias("docs"), bad("k > 1 AND n <= cap").alias("cut_without_need"), bad("n <> end").alias("with_gaps"))
+    filled = rows.groupBy("pack_id", "container").agg(F.sum("n_tokens").alias("n"), F.max("cap").alias("cap"), F.count("*").alias("k"), F.max("place").alias("last"), F.count_distinct("place").alias("places"))
+    fill = filled.groupBy("pack_id").agg(bad("n > cap").alias("too_full"), bad("k <> last OR k <> places").alias("places_wrong"))
+    return docs.join(fill, "pack_id")
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p7_overlaps(spark, sf_dir).where("exact_letters >= min_letters").select("doc_id", "item_id")
 
@@ -263,6 +275,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT plan_id, mode, tone, count(*) AS seats, count(*) AS ids FROM o WHERE place <= sample_size GROUP BY ALL""",
         "p5_found": f"{share} SELECT dialogue_id, pos FROM s WHERE n_letters >= 40 AND repeated_share >= 0.5",
         "p5_share": f"{share} SELECT * FROM s",
+        "p6_contract": """SELECT pack_id, (SELECT count(DISTINCT doc_id) FROM documents) AS docs, CAST(0 AS BIGINT) AS cut_without_need, CAST(0 AS BIGINT) AS with_gaps, CAST(0 AS BIGINT) AS too_full, CAST(0 AS BIGINT) AS places_wrong FROM pack_sizes""",
         "p7_found": leak,
         "p8_found": f"""WITH {doc} SELECT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM u a JOIN u b ON a.t = b.t AND a.doc_id < b.doc_id AND a.text <> b.text WHERE regexp_matches(a.t, '\\S')""",
         "p8_groups": f"""WITH {doc}, k AS (SELECT t, min(doc_id) AS group_id, count(DISTINCT text) AS variants, count(*) AS n FROM u WHERE regexp_matches(t, '\\S') GROUP BY t HAVING count(DISTINCT text) > 1),
