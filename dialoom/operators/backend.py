@@ -8,7 +8,9 @@ records every attempt without server text or keys.
 from __future__ import annotations
 
 import hashlib
+import inspect
 import json
+import re
 import time
 import urllib.error
 import urllib.request
@@ -44,7 +46,7 @@ def parse_body(raw: bytes) -> dict:
     return body
 
 
-# status codes and what they mean to the caller.
+# Fixed values (F5): status codes, and a provider's codes of status 429, with what they mean to the caller.
 MEANING = {
     401: "the key was refused",
     403: "no access to the model",
@@ -55,11 +57,82 @@ MEANING = {
     503: "the service is not available",
     504: "the gateway timed out",
 }
+PROVIDER_CODES = {
+    "1113": "no balance or resources are left in the account",
+    "1302": "the account's request rate is at its limit",
+    "1305": "the model has too many requests at the moment",
+    "1308": "the present quota is used up until it is reset",
+    "1309": "the subscription has ended",
+    "1310": "the weekly or monthly quota is used up",
+    "1311": "the subscription does not include this model",
+    "1313": "the account is slowed down for fair use",
+}
+NO_MODEL = ("not supported", "not found", "does not exist")
+ONLY_OFFICIAL = "only allows codex official clients"
+
 
+def classify(status: int, body: bytes = b"") -> RequestError:
+    """A safe message, never the server's own text; 408, 429 and all from 500 are worth repeating.
 
-def classify(status: int) -> RequestError:
-    """A safe message; 408, 429 and all from 500 are worth repeating."""
-    return RequestError(f"HTTP {status}: {MEANING.get(status, 'the request failed')}", status in (408, 429) or status >= 500)
+    The body may be a JSON error with further events behind it; what it says about a missing model
+    or a provider's code is told apart.
+    """
+    code = said = ""
+    try:
+        detail, _ = json.JSONDecoder().raw_decode(body.decode("utf-8-sig", errors="replace").lstrip())
+        detail = detail.get("error") if isinstance(detail, dict) else None
+        if isinstance(detail, dict):
+            code, said = str(detail.get("code", "")), str(detail.get("message", "")).lower()
+    except ValueError:
+        pass
+    again = status in (408, 429) or status >= 500
+    if status == 429 and code in PROVIDER_CODES:
+        return RequestError(f"HTTP 429, code {code}: {PROVIDER_CODES[code]}", again)
+    if ONLY_OFFICIAL in said:
+        return RequestError(f"HTTP {status}: the account serves the provider's own clients only", again)
+    if "model" in said and any(x in said for x in NO_MODEL):
+        return RequestError(f"HTTP {status}: the configured model is not available", again)
+    return RequestError(f"HTTP {status}: {MEANING.get(status, 'the request failed')}", again)
+
+
+def user_reply(text: str, _: object = None) -> dict:
+    """A user turn: an object of exactly a message that is not blank and a boolean."""
+    value = _object(text)
+    if set(value) != {"message", "goal_completed"} or not isinstance(value["message"], str) or not value["message"].strip() or type(value["goal_completed"]) is not bool:
+        raise FormatError("a user turn needs message and goal_completed")
+    return value
+
+
+def judge_reply(text: str, principle: str) -> dict:
+    """Exactly this principle with an integer score of 1, 3 or 5 and a reason that is not blank."""
+    value = _object(text)
+    item = value.get(principle)
+    if set(value) != {principle} or not isinstance(item, dict) or set(item) != {"score", "reason"}:
+        raise FormatError("only the principle with score and reason is allowed")
+    if type(item["score"]) is not int or item["score"] not in (1, 3, 5) or not isinstance(item["reason"], str) or not item["reason"].strip():
+        raise FormatError("the score must be the integer 1, 3 or 5, with a reason")
+    return item
+
+
+def plain_reply(text: str, _: object = None) -> str:
+    """A character's turn: text that is not blank."""
+    if not isinstance(text, str) or not text.strip():
+        raise FormatError("the reply is blank")
+    return text
+
+
+def _object(text: str) -> dict:
+    """a JSON object, also inside a fence."""
+    body = text.strip()
+    if body.startswith("```"):
+        body = body.strip("`").removeprefix("json").strip()
+    try:
+        value = json.loads(body)
+    except ValueError:
+        raise FormatError("the reply is no JSON") from None
+    if not isinstance(value, dict):
+        raise FormatError("the reply is no object")
+    return value
 
 
 def backoff(attempt: int, longest: float = 30.0) -> float:
@@ -71,12 +144,13 @@ def backoff(attempt: int, longest: float = 30.0) -> float:
 class Stub:
     """Offline replies that depend on the prompt alone, so that a repeated task repeats them."""
 
-    def complete(self, role: str, messages: list[dict]) -> str:
+    def complete(self, role: str, messages: list[dict], validate: Callable[[str], object] | None = None) -> str:
         h = int(hashlib.sha256(json.dumps(messages, ensure_ascii=False, sort_keys=True).encode()).hexdigest()[:8], 16)
         if role == "user":
             return json.dumps({"message": f"question {h % 1000}", "goal_completed": h % 4 == 0})
         if role == "judge":
-            return json.dumps({"score": 1 + 2 * (h % 3), "reason": f"case {h % 100}"})
+            asked = re.findall(r'\{"([^"]+)": \{"score"', messages[-1]["content"])
+            return json.dumps({asked[-1] if asked else "score": {"score": 1 + 2 * (h % 3), "reason": f"case {h % 100}"}}, ensure_ascii=False)
         return f"answer {h % 1000}"
 
 
@@ -138,33 +212,57 @@ class ChatClient:
             with urllib.request.urlopen(urllib.request.Request(f"{self.base_url}/chat/completions", data, head), timeout=self.timeout) as r:
                 return r.read()
         except urllib.error.HTTPError as e:
-            raise classify(e.code) from None
+            raise classify(e.code, e.read(65536)) from None
+
+
+ATTEMPTS = "array<struct<role:string,model:string,attempt:int,ok:boolean,error:string,usage:map<string,bigint>>>"
 
 
-def complete_rows(df: DataFrame, role: str, make: Callable[[], object] = Stub, prompt: str = "messages", keep: tuple[str, ...] = ("dialogue_id",)) -> DataFrame:
-    """A reply for each row; ``make`` builds the backend once per task.
+def complete_rows(
+    df: DataFrame, role: str, make: Callable[[], object] = Stub, prompt: str = "messages", keep: tuple[str, ...] = ("dialogue_id",),
+    check: Callable[[str, object], object] | None = None, expect: str | None = None,
+    audit: Callable[[dict], None] | None = None, progress: Callable[[str, str], None] | None = None,
+) -> DataFrame:
+    """``(keep..., reply, error, attempts)`` for each row; ``make`` builds the backend once per task.
 
-    A failed row has a null reply and a safe error, and does not stop the others.
+    ``check`` gets a reply and the row's ``expect`` column and raises if the reply is of no use:
+    the backend may then ask once more, and what still fails is an error. A failed row has a null
+    reply and a safe error, and does not stop the others. ``attempts`` are those of the row;
+    ``audit`` is called with each of them and ``progress`` with each row's outcome, in the task.
     """
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields if f.name in keep)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in keep)
+    wanted = [*keep, *([expect] if expect and expect not in keep else []), prompt]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         backend = make()
+        knows = "validate" in inspect.signature(backend.complete).parameters
         for pdf in frames:
-            replies, errors = [], []
-            for m in pdf[prompt]:
+            replies, errors, tried = [], [], []
+            for m, want in zip(pdf[prompt], pdf[expect] if expect else [None] * len(pdf)):
+                before = len(getattr(backend, "attempts", []))
+                valid = (lambda text, want=want: check(text, want)) if check else None
+                reply = error = None
                 try:
-                    replies.append(backend.complete(role, [dict(x) for x in m]))
-                    errors.append(None)
+                    talk = [dict(x) for x in m]
+                    reply = backend.complete(role, talk, valid) if knows else backend.complete(role, talk)
+                    if valid:
+                        valid(reply)
                 except (RequestError, FormatError, ValueError, OSError) as e:
-                    replies.append(None)
-                    errors.append(type(e).__name__)
-            yield pdf[list(keep)].assign(reply=replies, error=errors)
+                    reply, error = None, str(e) if isinstance(e, (RequestError, FormatError)) else type(e).__name__
+                own = [dict(x) for x in getattr(backend, "attempts", [])[before:]] or [{"role": role, "model": type(backend).__name__, "attempt": 1, "ok": error is None, "error": error, "usage": {}}]
+                for x in own if audit else ():
+                    audit(x)
+                if progress:
+                    progress(role, error or "ok")
+                replies.append(reply)
+                errors.append(error)
+                tried.append(own)
+            yield pdf[list(keep)].assign(reply=replies, error=errors, attempts=tried)
 
     from dialoom.session import ship_package
 
     ship_package(df.sparkSession)
-    return df.select(*keep, prompt).mapInPandas(run, f"{fields}, reply string, error string")
+    return df.select(*wanted).mapInPandas(run, f"{fields}, reply string, error string, attempts {ATTEMPTS}")
 
 
 def resolve_models(models: dict, env: dict[str, str]) -> dict[str, dict[str, str]]:

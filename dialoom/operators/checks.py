@@ -49,7 +49,8 @@ def point(df: DataFrame, col: str, value: str, suffix: str = "") -> DataFrame:
     """The row of an id (a suffix does not matter); an unknown one is an error that names some."""
     one = df.where(F.col(col) == (value.removesuffix(suffix) if suffix else value))
     if one.isEmpty():
-        raise ValueError(f"unknown {col} {value}; available: " + ", ".join(str(r[0]) for r in df.select(col).distinct().orderBy(col).take(50)))
+        names = [str(r[0]) for r in df.select(col).distinct().orderBy(col).take(51)]
+        raise ValueError(f"unknown {col} {value}; available: " + ", ".join(names[:50]) + (" and more" if len(names) > 50 else ""))
     return one
 
 
@@ -94,14 +95,38 @@ def topic_rules(modes: list[str]) -> dict[str, Column]:
     return {"id": nonblank(F.col("id")), "name": nonblank(F.col("name")), "mode": within(F.col("mode"), modes), "seeds": text_list(F.col("seeds"))}
 
 
-def client_settings(config: dict) -> dict:
-    """Timeouts, retries, spacing and the names of environment variables; no secret inline."""
+def client_settings(config: dict, judge: bool = False) -> dict:
+    """Exactly the known fields; timeouts, retries, spacing; endpoints by names of environment variables, no secret inline.
+
+    A judge's settings have the block ``judge`` in place of ``models``, with a JSON mode, a limit
+    of tokens and a temperature.
+    """
     number = lambda v: isinstance(v, (int, float)) and not isinstance(v, bool) and math.isfinite(v)
-    for key, low, high in (("timeout_seconds", 1, 3600), ("retries", 0, 8), ("min_interval_seconds", 0, 3600)):
+    limits = (("timeout_seconds", 1, 3600), ("retries", 0, 8), ("min_interval_seconds", 0, 3600))
+    block = "judge" if judge else "models"
+    unknown = set(config) - {k for k, _, _ in limits} - {block}
+    if unknown:
+        raise ValueError(f"unknown settings {', '.join(sorted(unknown))}")
+    for key, low, high in limits:
         if not number(config.get(key)) or not low <= config[key] <= high:
             raise ValueError(f"{key} must be a number from {low} to {high}")
-    if any("api_key" in m for m in config.get("models", {}).values() if isinstance(m, dict)):
-        raise ValueError("keys belong into the environment")
+    ends = {"judge": config.get("judge")} if judge else config.get("models", {})
+    for name, end in ends.items():
+        if isinstance(end, str) and not judge:
+            continue
+        if not isinstance(end, dict):
+            raise ValueError(f"{name} needs an endpoint")
+        if {"api_key", "authorization"} & {str(k).lower() for k in end}:
+            raise ValueError("keys belong into the environment")
+        for key in ("base_url_env", "model_env", "api_key_env") if judge else ():
+            if not isinstance(end.get(key), str) or not end[key].strip():
+                raise ValueError(f"{name} needs {key}")
+        if type(end.get("json_mode", True)) is not bool:
+            raise ValueError("json_mode must be a boolean")
+        if type(end.get("max_tokens", 2000)) is not int or end.get("max_tokens", 2000) <= 0:
+            raise ValueError("max_tokens must be a positive integer")
+        if not number(end.get("temperature", 0)) or not 0 <= end.get("temperature", 0) <= 2:
+            raise ValueError("temperature must be a number from 0 to 2")
     return config
 
 

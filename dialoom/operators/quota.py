@@ -142,13 +142,14 @@ def salted_order(salt: str, key: Column) -> Column:
 
 def plan_jobs(
     users: DataFrame, topics: DataFrame, characters: DataFrame, count: int, seed: int,
-    modes: dict[str, Decimal], tones: dict[str, Decimal], first_number: int = 1,
+    modes: dict[str, Decimal], tones: dict[str, Decimal], first_number: int = 1, random_tones: bool = False,
 ) -> DataFrame:
     """A stratified plan (id, mode, tone, user, topic, character, seed_situation).
 
     Per mode distinct triples are drawn from the product (pairs, for modes without a topic);
     the plan is shuffled; tones are dealt within modes by a two-way table with exact margins. The
-    material depends on seed and mode only, so other tone weights leave it unchanged.
+    material depends on seed and mode only, so other tone weights leave it unchanged. With
+    ``random_tones`` (A14) each job draws its tone by itself, past the quotas.
     """
     spark = users.sparkSession
     by_mode, by_tone = quota(count, modes), quota(count, tones)
@@ -183,8 +184,10 @@ def plan_jobs(
     tone_rows = spark.createDataFrame(bounds, "mode string, low bigint, high bigint, tone string")
     rows = random_rank(rows, ["mode"], ["draw"], "", "place", hex_order=salted_order(f"quota_behavior:{seed}", slot))
     # as many rows as there are cells in the table of modes and tones
-    rows = scratch.table(rows.join(F.broadcast(tone_rows), "mode").where("place BETWEEN low AND high"))
+    rows = scratch.table(rows.join(tone_rows, "mode").where("place BETWEEN low AND high"))
     rows = random_rank(rows, [], ["mode", "draw"], "", "number", hex_order=salted_order(f"quota_order:{seed}", slot))
+    if random_tones:
+        rows = rows.withColumn("tone", choose_from(F.array(*[F.lit(t) for t in tones]), f"user_behaviors:{seed}", slot))
     number = F.col("number") + (first_number - 1)
     situation = F.when(F.col("mode") == "task", choose_from(F.col("seeds"), f"seed_situation:{seed}", slot))
     return rows.select(F.format_string("dialogue_%05d", number).alias("id"), "mode", "tone", "user_id", "topic_id", "character_id", situation.alias("seed_situation"))

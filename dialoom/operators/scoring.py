@@ -101,11 +101,33 @@ def inline_scores(scores: DataFrame) -> DataFrame:
     return rounds.groupBy("dialogue_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "v")))).alias("scores"))
 
 
-def from_inline(rows: DataFrame, dims: DataFrame) -> DataFrame:
-    """The flat fact table back from the nested one; unknown principles stay, with a null id."""
+def from_inline(rows: DataFrame, dims: DataFrame, strict: bool = True) -> DataFrame:
+    """The flat fact table back from the nested one.
+
+    A principle that the rubric does not have, or that comes twice in a round, is an error;
+    without ``strict`` such items stay, with a null id if they are unknown.
+    """
     flat = rows.select("dialogue_id", F.explode("scores").alias("k", "items")).select("dialogue_id", F.substring("k", 7, 9).cast("int").alias("round"), F.explode("items").alias("i"))
-    ids = F.create_map(*[x for r in dims.take(100) for x in (F.lit(r.principle), F.lit(r.dimension_id))])
-    return flat.select("dialogue_id", "round", F.col("i.dimension").alias("principle"), F.try_element_at(ids, F.col("i.dimension")).alias("dimension_id"), "i.score", "i.reason")
+    flat = flat.select("dialogue_id", "round", F.col("i.dimension").alias("principle"), "i.score", "i.reason")
+    out = flat.join(dims.select("principle", "dimension_id"), "principle", "left").select("dialogue_id", "round", "principle", "dimension_id", "score", "reason")
+    if strict:
+        first = out.where("dimension_id IS NULL").first()
+        if first:
+            raise ValueError(f"{first.dialogue_id}: unknown principle {first.principle}")
+        twice = out.groupBy("dialogue_id", "round", "principle").count().where("count > 1").first()
+        if twice:
+            raise ValueError(f"{twice.dialogue_id}: {twice.principle} comes twice")
+    return out
+
+
+def ordered(df: DataFrame) -> DataFrame:
+    """A rollup in the order of its groups and principles."""
+    return df.orderBy(*[c for c in ("grouping", "key", "dialogue_id", "round", "principle") if c in df.columns])
+
+
+def context_digest(*columns: Column) -> Column:
+    """What a score was given for; a score stays valid while this is unchanged."""
+    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
 
 
 def merge_scores(stored: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -9,12 +9,14 @@ from dialoom.functions.labels import role_key
 
 
 def turns(messages: DataFrame) -> DataFrame:
-    """Redelivered messages once, roles in one spelling; partitioned by dialogue for what follows.
+    """Redelivered messages once, roles in one spelling.
 
-    The only shuffle of the texts: de-duplication and every window by dialogue share it.
+    Copies meet by dialogue and position, reduced before the shuffle to the smallest role and
+    text, so neither many redeliveries nor a long dialogue make a hot task, and copies that
+    differ give the same row on every run.
     """
     rows = messages.select("dialogue_id", "pos", role_key(F.col("role")).alias("role"), "content")
-    return rows.repartition("dialogue_id").dropDuplicates(["dialogue_id", "pos"])
+    return rows.groupBy("dialogue_id", "pos").agg(F.min("role").alias("role"), F.min("content").alias("content"))
 
 
 def public_turns(t: DataFrame) -> DataFrame:
@@ -76,10 +78,15 @@ def pending(t: DataFrame) -> DataFrame:
 
 
 def reply_samples(t: DataFrame) -> DataFrame:
-    """One row per reply with ``history``, all turns before it (its user turn included)."""
-    before = Window.partitionBy("dialogue_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    rows = public_turns(t).withColumn("history", F.collect_list(F.struct("role", "content")).over(before))
-    return rows.where("i % 2 = 1").select("dialogue_id", "round", "history", F.col("content").alias("model_response"))
+    """One row per reply with ``history``, all turns before it (its user turn included).
+
+    One array per dialogue and a slice of it per reply, cut as the rows stream by.
+    """
+    said = F.array_sort(F.collect_list(F.struct("pos", "role", "content")))
+    per = t.where(F.col("role").isin("user", "assistant")).groupBy("dialogue_id").agg(said.alias("said")).where("size(said) > 1")
+    rows = per.withColumn("round", F.explode(F.expr("sequence(1, cast(size(said) div 2 as int))")))
+    before = F.transform(F.slice("said", F.lit(1), 2 * F.col("round") - 1), lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content")))
+    return rows.select("dialogue_id", "round", before.alias("history"), F.element_at("said", 2 * F.col("round"))["content"].alias("model_response"))
 
 
 def history_text(history: Column, names: tuple[str, str] = ("用户", "角色")) -> Column:
@@ -113,6 +120,25 @@ def actor_messages(system: Column, turns_: Column, actor: str, opening: str, fla
     return F.concat(F.array(message("system", system)), body, opener)
 
 
+def actor_system(text: str, actor: str, scene_: Column, material: Column) -> Column:
+    """the system message: the text, then what the actor may know, as JSON.
+
+    ``material`` has user_profile, tone, character_name and character_profile. The user sees the
+    public scene, its own profile, goal and tone, and of the character the name only; the character
+    sees its profile and the scene without the mode and the user's goal.
+    """
+    public = scene_.dropFields("user_goal")
+    if actor == "user":
+        known = F.struct(
+            material["user_profile"].alias("profile"), public.alias("scene"), scene_["user_goal"].alias("user_goal"), material["character_name"].alias("character_public_name"),
+            F.struct(F.coalesce(material["tone"], F.lit("neutral")).alias("tone")).alias("user_behavior"),
+            F.struct(scene_["conversation_mode"].alias("mode"), scene_["background"].alias("topic"), scene_["user_goal"].alias("goal")).alias("conversation_start"),
+        )
+    else:
+        known = F.struct(material["character_profile"].alias("profile"), character_scene(public).alias("scene"))
+    return F.concat(F.lit(text + "\n"), F.to_json(known, {"ignoreNullFields": "false"}))
+
+
 def scene(mode: Column, topic: Column, seed: Column, boundary: Column, goal: Column) -> Column:
     """The scene of a conversation start; chat modes leave what they have not got null."""
     task, open_chat = mode == "task", mode == "open_chat"

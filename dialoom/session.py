@@ -120,6 +120,14 @@ def write_text(spark: SparkSession, where: str, text: str) -> None:
     context.rename(fs.makeQualified(part), fs.makeQualified(path), how)
 
 
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    """A table or document under another name; nothing is replaced."""
+    source, fs = _hadoop_path(spark, old)
+    target, _ = _hadoop_path(spark, new)
+    if fs.exists(target) or not fs.rename(source, target):
+        raise OSError(f"{old} could not be renamed")
+
+
 @contextmanager
 def exclusive(spark: SparkSession, folder: str):
     """One run per folder, by a lock file that is created or else exists."""

@@ -8,7 +8,7 @@ import re
 from decimal import Decimal
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BOM = "\ufeff"
@@ -74,7 +74,7 @@ def presets(spark: SparkSession, path: str, selection: str = "random") -> DataFr
         return rows
     one = rows.where(F.col("id") == selection)
     if one.isEmpty():
-        raise ValueError(f"unknown preset {selection}; available: {', '.join(sorted(r.id for r in rows.take(1000)))}")
+        raise ValueError(f"unknown preset {selection}; available: {', '.join(r.id for r in rows.select('id').orderBy('id').take(50))}")
     return one
 
 
@@ -113,14 +113,20 @@ def job_ids(logs: DataFrame, manifests: DataFrame) -> DataFrame:
 
 
 def persona_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Persona rows with blank ones dropped and ``source_row_index`` of the data row.
+    """Persona rows with blank ones dropped and ``source_row_index``, counted over the data rows of all files by name.
 
-    The index is the place in the file, so the file is read as one partition (it cannot be split
-    while quoted fields hold line breaks).
+    A file is one split (quoted fields hold line breaks), so the place in it is the distance from
+    its first row; where each file begins comes from one row per file.
     """
     rows = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    rows = rows.withColumn("source_row_index", F.monotonically_increasing_id().cast("int"))
-    persona = F.col(rows.columns[0])
+    named = rows.columns
+    rows = rows.select("*", F.col("_metadata.file_path").alias("__file"), F.monotonically_increasing_id().alias("__at"))
+    per = rows.groupBy("__file").agg(F.min("__at").alias("__low"), F.count("*").alias("__n"))
+    before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    begins = per.select("__file", "__low", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    at = (F.col("__at") - F.col("__low") + F.col("__before")).cast("int")
+    rows = rows.join(begins, "__file").select(*[F.col(f"`{c}`") for c in named], at.alias("source_row_index"))
+    persona = F.col(f"`{named[0]}`")
     return rows.where(persona.isNotNull() & F.regexp_like(persona, F.lit(r"(?U)\S")))
 
 
@@ -149,15 +155,15 @@ def prompt_templates(folder: str) -> dict[str, str]:
     return {name: (Path(folder) / f"{name}.txt").read_text(encoding="utf-8").strip() for name in ("system", "user")}
 
 
-# Seven dimensions, one principle each; the wording is this project's own.
+# Fixed values (S14): ids and principle names of the seven dimensions, as stored scores use them; the wording of the criteria is this project's own.
 RUBRIC = [
-    ("style_consistency", "style", "Does the reply keep the character's way of speaking?"),
-    ("profile_fidelity", "fidelity", "Does the reply agree with the facts of the profile?"),
-    ("context_coherence", "coherence", "Does the reply follow from the dialogue so far?"),
-    ("goal_support", "support", "Does the reply serve what the user is after?"),
-    ("emotional_fit", "fit", "Does the reply fit the user's mood?"),
-    ("boundary_respect", "boundary", "Does the reply respect the limits of the scene?"),
-    ("length_control", "length", "Is the reply as long as the occasion asks for?"),
+    ("style_consistency", "风格一致", "Does the reply keep the character's way of speaking?"),
+    ("trait_consistency", "特质一致", "Does the reply show the character's traits and beliefs?"),
+    ("emotion_expression", "情感表达", "Does the reply take up the user's mood, neither too strongly nor too weakly?"),
+    ("coherence", "连贯性", "Does the reply follow from the dialogue so far?"),
+    ("naturalness", "自然性", "Does the reply sound like a person and not like a template?"),
+    ("topic_management", "话题推动", "Does the reply go on, deepen or close the topic as the moment asks?"),
+    ("boundary_compliance", "禁忌红线遵守", "Does the reply respect the limits set for the character?"),
 ]
 
 

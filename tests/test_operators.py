@@ -148,9 +148,9 @@ def test_turns_pairs_history(spark):
     assert [m.loss_mask for m in rec] == [0, 0, 1, 0, 1]
 
 
-def test_one_shuffle_serves_dedup_and_window(spark):
-    plan = transcript.reply_samples(messages(spark))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
+def test_copies_meet_before_dialogues_do(spark):
+    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert exchanges(transcript.masked_turns(messages(spark))) == 1 and exchanges(transcript.reply_samples(messages(spark))) == 2
 
 
 def test_export_keeps_first_in_string_order(spark):
@@ -243,6 +243,16 @@ def test_client_retries_and_repairs():
     c, post, _ = client(reply("bad"), reply('{"a": 1}'))
     assert c.complete("judge", [{"role": "user", "content": "q"}], validate=json.loads) == '{"a": 1}'
     assert len(post.sent[1]["messages"]) == 3 and post.sent[1]["messages"][1]["content"] == "bad"
+    said = lambda status, **error: str(backend.classify(status, json.dumps({"error": error}).encode() + b"\ndata: more"))
+    assert "quota" in said(429, code="1310") and "not available" in said(404, message="The model x does not exist") and "own clients" in said(403, message="This account only allows Codex official clients")
+    assert "secret" not in said(403, message="secret") and backend.classify(429, b"<html>").again
+    for good in ('{"p": {"score": 3, "reason": "x"}}', '```json\n{"p": {"score": 1, "reason": "x"}}\n```'):
+        assert backend.judge_reply(good, "p")["score"] in (1, 3)
+    for bad in ('{"p": {"score": "3", "reason": "x"}}', '{"p": {"score": true, "reason": "x"}}', '{"p": {"score": 2, "reason": "x"}}', '{"p": {"score": 3.0, "reason": "x"}}', '{"p": {"score": 3, "reason": " "}}', '{"p": {"score": 3, "reason": "x", "a": 1}}', '{"q": {"score": 3, "reason": "x"}}', "[]", "no"):
+        with pytest.raises(backend.FormatError):
+            backend.judge_reply(bad, "p")
+    with pytest.raises(backend.FormatError):
+        backend.user_reply('{"message": "m", "goal_completed": "false"}')
     for body in (b"<html>", b"nope", b"[1]"):
         with pytest.raises(backend.RequestError):
             backend.parse_body(body)
@@ -267,6 +277,110 @@ def test_runner_resumes_in_the_middle(spark, tmp_path):
         runner.check_settings({"a": 1}, {"a": 2}, started=True)
 
 
+class Moody:
+    """Fails for one dialogue, answers out of form once and mends it, and is fine otherwise."""
+
+    def __init__(self):
+        self.attempts, self.stub = [], backend.Stub()
+
+    def complete(self, role, messages, validate=None):
+        first = messages[0]["content"] + messages[-1]["content"]
+        if "broken" in first:
+            self.attempts.append({"role": role, "model": "m", "attempt": 1, "ok": False, "error": "HTTP 503", "usage": {}})
+            raise backend.classify(503)
+        text = self.stub.complete(role, messages)
+        if role == "judge" and "malformed" in first:
+            text = '{"score": 3}'
+        self.attempts.append({"role": role, "model": "m", "attempt": 1, "ok": True, "error": None, "usage": {"total_tokens": 5}})
+        if validate:
+            validate(text)
+        return text
+
+
+def test_a_run_keeps_scenes_prompts_events_and_failures(spark, tmp_path):
+    from dialoom.plans import api
+
+    jobs = spark.createDataFrame([("d1", "task", "Tea", "broken kettle"), ("d2", "topic_chat", "Rain", "s"), ("d3", "open_chat", "Rain", "s")], "dialogue_id string, mode string, topic_name string, seed_situation string")
+    jobs = jobs.withColumns({"user_profile": F.lit("likes maps"), "character_name": F.lit("Ann"), "character_profile": F.lit("a captain"), "tone": F.lit("gentle")})
+    folder = str(tmp_path / "run")
+    turns = runner.run_batch(jobs, folder, Moody, max_rounds=2)
+    assert {r.dialogue_id for r in turns.collect()} == {"d2", "d3"}
+    scenes = {r.dialogue_id: r.scene for r in spark.read.parquet(folder + "/scenes").collect()}
+    assert scenes["d1"].trigger == "broken kettle" and scenes["d2"].background == "Rain" and scenes["d3"].background is None and scenes["d2"].user_goal is None
+    failures = spark.read.parquet(folder + "/failures").collect()
+    assert {(r.dialogue_id, r.phase) for r in failures} == {("d1", "user")} and all("503" in r.error for r in failures)
+    events = {(r.dialogue_id, r.event) for r in spark.read.parquet(folder + "/events").collect()}
+    assert {("d1", "scene"), ("d1", "failed"), ("d2", "user"), ("d2", "round"), ("d2", "end")} <= events and ("d1", "round") not in events
+    attempts = spark.read.parquet(folder + "/attempts")
+    assert attempts.where("dialogue_id = 'd2' AND ok").count() == turns.where("dialogue_id = 'd2'").count()
+    # a later run asks only what is missing, with another backend
+    more = runner.run_batch(jobs, folder, max_rounds=2)
+    assert {r.dialogue_id for r in more.collect()} == {"d1", "d2", "d3"} and more.where("dialogue_id = 'd2'").count() == turns.where("dialogue_id = 'd2'").count()
+    assert spark.read.parquet(folder + "/scenes").count() == 3
+    # the prompts hold what each side may know
+    one = runner.with_material(jobs).where("dialogue_id = 'd1'").select(*[transcript.actor_system("S", a, F.col("scene"), F.col("material")).alias(a) for a in ("user", "character")]).first()
+    user, character = (json.loads(x.split("\n", 1)[1]) for x in one)
+    assert user["profile"] == "likes maps" and user["user_behavior"] == {"tone": "gentle"} and user["character_public_name"] == "Ann" and user["conversation_start"]["mode"] == "task"
+    assert character["profile"] == "a captain" and "conversation_mode" not in character["scene"] and "user_goal" not in json.dumps(character)
+
+
+def test_scores_of_failing_malformed_and_changed_dialogues(spark, tmp_path):
+    from dialoom.plans import api
+
+    rows = [(d, p, r, c) for d, reply in (("good", "fine"), ("bad", "broken"), ("odd", "malformed"), ("new", "old words")) for p, r, c in ((0, "system", "{}"), (1, "user", "q"), (2, "assistant", reply))]
+    schema = "dialogue_id string, pos int, role string, content string"
+    before = spark.createDataFrame(rows, schema)
+    store = str(tmp_path / "scores")
+    first = api.evaluate(before, store, Moody)
+    assert sum(r.n_scores for r in first.collect()) == 14
+    failed = {(r.dialogue_id, r.error) for r in spark.read.parquet(store + "/failures").collect()}
+    assert {d for d, _ in failed} == {"bad", "odd"} and any("503" in e for d, e in failed if d == "bad") and all("score" in e for d, e in failed if d == "odd")
+    summary = json.loads((tmp_path / "scores" / "summary.json").read_text())
+    assert summary["expected"] == 28 and summary["completed"] == 14
+    # one reply changes: its scores no longer count and are asked again; the others stay
+    after = spark.createDataFrame([(d, p, r, "new words" if c == "old words" else c) for d, p, r, c in rows], schema)
+    assert sum(r.n_scores for r in api.evaluate(after, store, Moody, limit=0).collect()) == 7
+    assert sum(r.n_scores for r in api.evaluate(after, store).collect()) == 28
+    # a reply that changes while the judge answers is not scored
+    third = spark.createDataFrame([(d, p, r, "third words" if c == "old words" else c) for d, p, r, c in rows], schema)
+    kept = api.evaluate(third, store, reload=lambda: after)
+    assert sum(r.n_scores for r in kept.collect()) == 21 and "changed" in {r.error for r in spark.read.parquet(store + "/failures").collect()}
+    with pytest.raises(ValueError):
+        api.evaluate(after, store, settings={"other": 1})
+    # stored scores that contradict each other are an error
+    one = spark.read.parquet(store + "/scores").where("dialogue_id = 'good'").limit(1)
+    one.withColumn("reason", F.lit("another")).write.mode("append").parquet(store + "/scores")
+    with pytest.raises(ValueError, match="contradict"):
+        api.evaluate(after, store)
+
+
+def test_options_and_legacy_scores(spark, tmp_path):
+    from dialoom.plans import api
+
+    api.check_options("generate", append=True, mode="task")
+    for command, given in (("export", {"append": True}), ("generate", {"append": True, "resume": True}), ("render", {"character": "a"}), ("plan", {"resume": True, "tone": "sharp"}), ("export", {"mode": "task"})):
+        with pytest.raises(ValueError):
+            api.check_options(command, **given)
+    tasks = spark.createDataFrame([("t1", "s", "c"), ("t2", "s", "c")], "task_id string, sample_id string, ctx string")
+    old = spark.createDataFrame([("t1", 3, "x", "c")], "task_id string, score int, reason string, ctx string")
+    where = str(tmp_path / "old")
+    for k in range(2):
+        old.write.parquet(where)
+        assert api.migrate_scores(spark, where, tasks, ["ctx"], str(tmp_path / f"to{k}")) == 1
+        assert spark.read.parquet(str(tmp_path / f"to{k}")).count() == 1 and not (tmp_path / "old").exists()
+    assert (tmp_path / "old.legacy").exists() and (tmp_path / "old.legacy.1").exists()
+    old.withColumn("ctx", F.lit("other")).write.parquet(where)
+    with pytest.raises(ValueError, match="changed"):
+        api.migrate_scores(spark, where, tasks, ["ctx"], str(tmp_path / "never"))
+    assert (tmp_path / "old").exists() and not (tmp_path / "never").exists()
+    inline = spark.createDataFrame([("d", {"round_01": [("风格一致", 3, "r")]})], "dialogue_id string, scores map<string,array<struct<dimension:string,score:int,reason:string>>>")
+    flat = scoring.from_inline(inline, files.rubric(spark)).collect()
+    assert [(r["round"], r.dimension_id, r.score) for r in flat] == [(1, "style_consistency", 3)]
+    unknown = spark.createDataFrame([("d", {"round_01": [("nobody", 3, "r")]})], inline.schema)
+    with pytest.raises(ValueError, match="nobody"):
+        scoring.from_inline(unknown, files.rubric(spark))
+
+
 def test_sources(spark, tmp_path):
     (tmp_path / "t").mkdir()
     (tmp_path / "t" / "topic_a.json").write_text("﻿" + json.dumps({"id": "g", "name": "G", "version": "1", "source": "s", "subtopics": [{"id": "x", "name": "X", "mode": "task", "seeds": ["s1"]}]}), encoding="utf-8")
@@ -284,7 +398,11 @@ def test_sources(spark, tmp_path):
     (tmp_path / "l" / "dialogue_2.progress.log").write_text(json.dumps({"format_version": "2", "events": ["x"], "character_name": "Z"}))
     assert {r.dialogue_id: r.events for r in files.progress_logs(spark, str(tmp_path / "l")).collect()} == {"dialogue_1": ["one", "two"], "dialogue_2": ["x"]}
     (tmp_path / "p.csv").write_text('user 1 personas,Best Generated Conversation\n"a\nb","x ""q"""\n" ",y\nz,w\n')
-    assert [(r.source_row_index, r[0]) for r in files.persona_csv(spark, str(tmp_path / "p.csv")).collect()] == [(0, "a\nb"), (2, "z")]
+    assert sorted((r.source_row_index, r[0]) for r in files.persona_csv(spark, str(tmp_path / "p.csv")).collect()) == [(0, "a\nb"), (2, "z")]
+    (tmp_path / "csv").mkdir()
+    (tmp_path / "csv" / "b.csv").write_text('user 1 personas,Best\n"e",y\n')
+    (tmp_path / "csv" / "a.csv").write_text('user 1 personas,Best\n"c\nd",y\n"d",z\n')
+    assert sorted((r.source_row_index, r[0]) for r in files.persona_csv(spark, str(tmp_path / "csv")).collect()) == [(0, "c\nd"), (1, "d"), (2, "e")]
     (tmp_path / "presets.json").write_text(json.dumps({"schema_version": "3.0", "presets": [{"id": "a", "tone": "sharp"}, {"id": "b", "tone": "gentle"}]}))
     assert files.presets(spark, str(tmp_path / "presets.json")).count() == 2
     with pytest.raises(ValueError, match="a, b"):
