@@ -262,6 +262,7 @@ def close_round(state: DataFrame, max_rounds: int = 20) -> DataFrame:
 
 
 def reset_rejected(jobs: DataFrame) -> DataFrame:
-    """A job whose scene was rejected begins anew; all others stay as they are."""
-    again = (F.col("status") == "rejected") & (F.col("phase") == "scene")
-    return jobs.withColumns({"status": F.when(again, "pending").otherwise(F.col("status"))})
+    """A job that was rejected before anything was said begins anew with its scene; all others stay as they are."""
+    before = F.col("phase").isin("scene", "scene_review")
+    again = F.coalesce((F.col("phase") == "scene_review") | (before & F.col("status").isin("incompatible", "rejected")), F.lit(False))
+    return jobs.withColumns({"status": F.when(again, "pending").otherwise(F.col("status")), "phase": F.when(again, "scene").otherwise(F.col("phase"))})

@@ -202,7 +202,15 @@ def quota_axes(spark: SparkSession, d: str) -> DataFrame:
     return quota.largest_remainder(rows, ["axis", "n"]).select("axis", "n", "key", "seats")
 
 
-@query("SELECT axis, key, sum(seats)::BIGINT AS seats FROM (VALUES " + ", ".join(f"('{a}','{k}',{n})" for a in _W for k, n in quota.quota(100, _W[a]).items()) + ") t(axis, key, seats) GROUP BY axis, key")
+def _seats_sql(n: int) -> str:
+    """Seats of the two axes by largest remainders, in SQL."""
+    return (
+        f"q AS (SELECT axis, key, ord, {n} * w // 10 AS f, {n} * w % 10 AS r FROM {_AXES}), p AS (SELECT *, row_number() OVER (PARTITION BY axis ORDER BY r DESC, ord) AS place, {n} - sum(f) OVER (PARTITION BY axis) AS rest FROM q), "
+        "s AS (SELECT axis, key, CAST(f + CASE WHEN place <= rest THEN 1 ELSE 0 END AS BIGINT) AS seats FROM p)"
+    )
+
+
+@query(f"WITH {_seats_sql(100)} SELECT axis, key, seats FROM s")
 def quota_two_way(spark: SparkSession, d: str) -> DataFrame:
     """A3: both margins of the two-way table."""
     table = quota.two_way(quota.quota(100, _W["mode"]), quota.quota(100, _W["tone"]), "quota_behavior:7")
@@ -217,18 +225,15 @@ def _plan(spark: SparkSession, d: str, count: int = 700, seed: int = 7) -> DataF
     return quota.plan_jobs(named("users"), named("topics", "seeds"), named("characters"), count, seed, _W["mode"], _W["tone"])
 
 
-@query(
-    "SELECT axis, key, target::BIGINT AS target, target::BIGINT AS actual FROM (VALUES "
-    + ", ".join(f"('{a}','{k}',{n})" for a in _W for k, n in quota.quota(700, _W[a]).items())
-    + ") t(axis, key, target)"
-)
+@query(f"WITH {_seats_sql(700)} SELECT axis, key, seats AS target, seats AS actual FROM s")
 def plan_margins(spark: SparkSession, d: str) -> DataFrame:
     """Target and actual of a plan of 700."""
     return quota.plan_summary(_plan(spark, d), {a: quota.quota(700, w) for a, w in _W.items()})
 
 
 @query(
-    """SELECT 700 AS jobs, 700 AS ids, 700 AS combinations, 700 AS known_users, 700 AS known_characters, 420 AS with_topic, 140 AS with_situation"""
+    f"""WITH {_seats_sql(700)}, m AS (SELECT CAST(sum(seats) AS INTEGER) AS jobs, CAST(sum(seats) FILTER (key <> 'open_chat') AS INTEGER) AS with_topic, CAST(sum(seats) FILTER (key = 'task') AS INTEGER) AS with_situation FROM s WHERE axis = 'mode')
+    SELECT jobs, jobs AS ids, jobs AS combinations, jobs AS known_users, jobs AS known_characters, with_topic, with_situation FROM m"""
 )
 def plan_contracts(spark: SparkSession, d: str) -> DataFrame:
     """Ids and combinations are distinct, references resolve, situations come with tasks only."""
@@ -316,7 +321,7 @@ def task_grid(spark: SparkSession, d: str) -> DataFrame:
     return _tasks(spark, d).select("task_id", "sample_id", "dimension_id", "principle")
 
 
-@query(f"WITH {_SCORES} SELECT task_id FROM graded WHERE task_id NOT IN (SELECT task_id FROM scores)")
+@query(f"WITH {_SCORES.replace('tasks AS (', 'tasks AS MATERIALIZED (').replace('graded AS (', 'graded AS MATERIALIZED (')} SELECT task_id FROM graded g WHERE NOT EXISTS (SELECT 1 FROM scores s WHERE s.task_id = g.task_id)")
 def pending_tasks(spark: SparkSession, d: str) -> DataFrame:
     """J6, T5, T8."""
     return scoring.pending_tasks(_tasks(spark, d), _scores(spark, d)).select("task_id")
@@ -402,10 +407,10 @@ def score_retention(spark: SparkSession, d: str) -> DataFrame:
     return scoring.retained(old, new, ["b", "t"])
 
 
-@query(f"WITH {_SCORES} SELECT sample_id, score FROM scores WHERE principle = 'style' ORDER BY sample_id LIMIT 100")
+@query(f"WITH {_SCORES} SELECT sample_id, score FROM scores WHERE principle = '风格一致' ORDER BY sample_id LIMIT 100")
 def first_replies(spark: SparkSession, d: str) -> DataFrame:
     """O1: a limit in file and round order, the feature itself; a top-k, no sort of all rows."""
-    return _scores(spark, d).where("principle = 'style'").select("sample_id", "score").orderBy("sample_id").limit(100)
+    return _scores(spark, d).where("principle = '风格一致'").select("sample_id", "score").orderBy("sample_id").limit(100)
 
 
 # --- profiles ------------------------------------------------------------------------------
@@ -582,28 +587,123 @@ def display_names(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("name", X.display_name(F.col("name")).alias("display"), X.squeeze(F.col("name")).alias("squeezed"))
 
 
-_REPLIES = [('{"a": 1}', '{"a": 1}'), ('```json\n{"b": 2, "a": 1}\n```', '{"a": 1, "b": 2}'), ('Sure: {"a": 1} done', '{"a": 1}'), ("[1]", None), ('x [1] {"a": 1}', None), ('{"a": 1} {"b": 2}', None), ("{", None)]
+# model replies made from each topic's id, by kind: the text around the id, and what a tolerant reader finds in it
+_REPLIES = [
+    ('{"a": "', '"}', True), ('```json\n{"a": "', '"}\n```', True), ('Sure: {"a": "', '"} done', True), ('["', '"]', False), ('x [1] {"a": "', '"}', False), ('{"a": "', '"} {"b": 2}', False), ('{"a": "', '"', False),
+]
+_KIND = "(" + _NUM.format("'reply|' || id") + f" % {len(_REPLIES)})"
+
+
+def _made(kinds: list[tuple[str, ...]], kind, *middle):
+    """The text of each row's kind."""
+    out = F.lit(None).cast("string")
+    for i, k in enumerate(kinds):
+        out = F.when(kind == i, F.concat(F.lit(k[0]), *middle, F.lit(k[1]))).otherwise(out)
+    return out
 
 
-@query("SELECT raw, parsed FROM (VALUES " + ", ".join(f"('{r}', {'NULL' if p is None else repr(p)})" for r, p in _REPLIES) + ") t(raw, parsed)")
+@query(f"SELECT DISTINCT id, CASE WHEN {_KIND} IN ({', '.join(str(i) for i, r in enumerate(_REPLIES) if r[2])}) THEN id END AS parsed FROM topics")
 def tolerant_replies(spark: SparkSession, d: str) -> DataFrame:
     """F3 on model replies of every kind."""
-    return spark.createDataFrame([(r,) for r, _ in _REPLIES], "raw string").select("raw", tolerant_json(F.col("raw")).alias("parsed"))
+    ids = read_table(spark, d, "topics").select("id").distinct()
+    raw = _made(_REPLIES, _hash6(F.concat(F.lit("reply|"), "id")) % len(_REPLIES), F.col("id"))
+    return ids.select("id", F.get_json_object(tolerant_json(raw), "$.a").alias("parsed"))
 
 
+# judges' replies for each task, by kind: before and behind the principle, and whether they are valid
 _JUDGED = [
-    ('{"style": {"score": 3, "reason": "ok"}}', True), ('{"style": {"score": 2, "reason": "ok"}}', False), ('{"style": {"score": 3.0, "reason": "ok"}}', False),
-    ('{"style": {"score": "5", "reason": "ok"}}', False), ('{"style": {"score": true, "reason": "ok"}}', False), ('{"style": {"score": 5, "reason": " "}}', False),
-    ('{"style": {"score": 5, "reason": 12}}', False), ('{"style": {"score": 5, "reason": "x", "more": 1}}', False), ('{"other": {"score": 5, "reason": "x"}}', False),
-    ('{"style": {"score": 5, "reason": "x"}, "other": {"score": 5, "reason": "x"}}', False), ('{"style": {"score": 1, "reason": "no"}}', True),
+    ('{"', '": {"score": 3, "reason": "ok"}}', True), ('{"', '": {"score": 2, "reason": "ok"}}', False), ('{"', '": {"score": 3.0, "reason": "ok"}}', False), ('{"', '": {"score": "5", "reason": "ok"}}', False),
+    ('{"', '": {"score": true, "reason": "ok"}}', False), ('{"', '": {"score": 5, "reason": " "}}', False), ('{"', '": {"score": 5, "reason": 12}}', False), ('{"', '": {"score": 5, "reason": "x", "more": 1}}', False),
+    ('{"other', '": {"score": 5, "reason": "x"}}', False), ('{"other": {"score": 5, "reason": "x"}, "', '": {"score": 5, "reason": "x"}}', False), ('{"', '": {"score": 1, "reason": "no"}}', True), ('[{"', '": {"score": 1, "reason": "no"}}]', False),
 ]
 
 
-@query("SELECT raw, valid FROM (VALUES " + ", ".join(f"('{r}', {str(v).lower()})" for r, v in _JUDGED) + ") t(raw, valid)")
+@query(f"WITH {_SCORES} SELECT task_id, {_NUM.format(repr('judge|') + ' || task_id')} % {len(_JUDGED)} IN ({', '.join(str(i) for i, j in enumerate(_JUDGED) if j[2])}) AS valid FROM graded WHERE ord = 0")
 def strict_scores(spark: SparkSession, d: str) -> DataFrame:
-    """P3, P4, P5, P16."""
-    rows = spark.createDataFrame([(r,) for r, _ in _JUDGED], "raw string")
-    return rows.select("raw", scoring.valid_scores(F.col("raw"), ["style"]).isNotNull().alias("valid"))
+    """One judge's reply for each sample."""
+    rows = _tasks(spark, d).where("ord = 0")
+    raw = _made(_JUDGED, _hash6(F.concat(F.lit("judge|"), "task_id")) % len(_JUDGED), F.col("principle"))
+    return rows.select("task_id", scoring.valid_scores(raw, [files.RUBRIC[0][1]]).isNotNull().alias("valid"))
+
+
+@query(f"WITH {_SCORES} SELECT dialogue_id, round, dimension_id, CAST(score AS INTEGER) AS score FROM scores")
+def inline_back(spark: SparkSession, d: str) -> DataFrame:
+    """Nested scores read back as facts, principles by the rubric; an unknown one would be an error."""
+    nested = scoring.inline_scores(_scores(spark, d).withColumn("reason", F.lit("stub")))
+    return scoring.from_inline(nested, files.rubric(spark)).select("dialogue_id", "round", "dimension_id", F.col("score").cast("int").alias("score"))
+
+
+_LEGACY = f"{_NUM.format(repr('legacy|') + ' || task_id')} % 10"
+
+
+@query(f"WITH {_SCORES}, l AS (SELECT task_id, {_LEGACY} AS k FROM scores) SELECT CASE k WHEN 0 THEN 'x' || task_id ELSE task_id END AS task_id, CASE k WHEN 0 THEN 'unknown' WHEN 1 THEN 'duplicate' ELSE 'changed' END AS problem FROM l WHERE k < 3")
+def migration_problems(spark: SparkSession, d: str) -> DataFrame:
+    """Old scores of which some are of no task, come twice, or were given in another context."""
+    kind = _hash6(F.concat(F.lit("legacy|"), "task_id")) % 10
+    old = _scores(spark, d).select(F.when(kind == 0, F.concat(F.lit("x"), "task_id")).otherwise(F.col("task_id")).alias("task_id"), F.when(kind == 2, "other").otherwise(F.col("principle")).alias("principle"), "score", F.lit("stub").alias("reason"), kind.alias("k"))
+    legacy = old.unionByName(old.where("k = 1")).drop("k")
+    return scoring.migrate(legacy, _tasks(spark, d).select("task_id", "sample_id", "principle"), ["principle"])[1].distinct()
+
+
+@query(
+    f"""WITH t AS (SELECT group_id, id, max(name) AS name FROM topics GROUP BY ALL), c AS (SELECT DISTINCT group_id, CASE WHEN {_NUM.format(repr('pick|') + ' || id')} % 7 = 0 THEN id || 'x' ELSE id END AS id FROM t WHERE {_NUM.format(repr('pick|') + ' || id')} % 2 = 0)
+    SELECT c.group_id AS service_name, c.id AS intent, t.name AS description FROM c LEFT JOIN t ON t.group_id = c.group_id AND t.id = c.id"""
+)
+def selected_intents(spark: SparkSession, d: str) -> DataFrame:
+    """Chosen (service, intent) pairs looked up in nested services; unknown ones stay, without a description."""
+    t = read_table(spark, d, "topics").groupBy("group_id", "id").agg(F.max("name").alias("name"))
+    services = t.groupBy(F.col("group_id").alias("service_name")).agg(F.collect_list(F.struct(F.col("id").alias("name"), F.col("name").alias("description"))).alias("intents"))
+    pick = _hash6(F.concat(F.lit("pick|"), "id"))
+    chosen = t.where(pick % 2 == 0).select(F.col("group_id").alias("service_name"), F.when(pick % 7 == 0, F.concat("id", F.lit("x"))).otherwise(F.col("id")).alias("intent"))
+    return lookups.select_intents(chosen, services)
+
+
+@query("SELECT DISTINCT id, name, mode FROM topics")
+def topics_together(spark: SparkSession, d: str) -> DataFrame:
+    """The topics of each mode as tables of their own, put together with unique ids."""
+    t = read_table(spark, d, "topics").select("id", "name", "mode").distinct()
+    kinds = ["task", "topic_chat", "open_chat"]
+    parts = [t.where(F.col("mode") == m) for m in kinds] + [t.where(~F.coalesce(F.col("mode").isin(*kinds), F.lit(False)))]
+    return lookups.union_same_schema(parts, "id")
+
+
+@query(f"WITH {_TURNS}, h AS (SELECT dialogue_id, content, instr(content, '{{') AS brace FROM turns WHERE role = 'system') SELECT dialogue_id, CASE WHEN brace > 0 THEN json_extract_string(substr(content, brace), '$.name') END AS name, CASE WHEN brace > 0 THEN json_extract_string(substr(content, brace), '$.habit') END AS habit FROM h")
+def header_profiles(spark: SparkSession, d: str) -> DataFrame:
+    """the profile inside each dialogue's header."""
+    head = _turns(spark, d).where("role = 'system'").select("dialogue_id", X.embedded_json(F.col("content")).alias("v"))
+    return head.select("dialogue_id", F.try_variant_get("v", "$.name", "string").alias("name"), F.try_variant_get("v", "$.habit", "string").alias("habit"))
+
+
+@query(r"""SELECT DISTINCT id, regexp_replace(substr(profile, greatest(length(profile) // 2 - 24, 0) + 1, length(profile) // 2 + 24 - greatest(length(profile) // 2 - 24, 0)), '[^{}\[\]:,"\\\s]', 'x', 'g') AS shown FROM characters""")
+def error_windows(spark: SparkSession, d: str) -> DataFrame:
+    """what an error may show of a document around a place."""
+    rows = read_table(spark, d, "characters").select("id", "profile").distinct()
+    return rows.select("id", X.error_window(F.col("profile"), F.expr("cast(length(profile) div 2 as int)")).alias("shown")).distinct()
+
+
+@query("SELECT DISTINCT dialogue_id, strftime(planned_at, '%Y-%m-%dT%H:%M:%S+00:00') AS planned FROM jobs WHERE planned_at IS NOT NULL")
+def iso_times(spark: SparkSession, d: str) -> DataFrame:
+    """F18."""
+    return read_table(spark, d, "jobs").where("planned_at IS NOT NULL").select("dialogue_id", transcript.iso_time(F.col("planned_at")).alias("planned")).distinct()
+
+
+@query("SELECT DISTINCT dialogue_id, CASE WHEN status = 'incompatible' AND phase = 'scene' THEN 'pending' ELSE status END AS status, phase FROM jobs")
+def jobs_begun_anew(spark: SparkSession, d: str) -> DataFrame:
+    """T16."""
+    return transcript.reset_rejected(read_table(spark, d, "jobs").select("dialogue_id", "status", "phase").distinct())
+
+
+@query("SELECT n, key, CASE WHEN key = 'sharp' THEN n ELSE 0 END AS seats FROM range(1, 101) x(n) CROSS JOIN (VALUES ('neutral'), ('gentle'), ('sharp')) t(key)")
+def fixed_choice(spark: SparkSession, d: str) -> DataFrame:
+    """A fixed tone takes all seats, at every count."""
+    rows = quota.weights_table(spark, {"tone": quota.override(_W["tone"], "sharp")}).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(100)).cast("array<bigint>")))
+    return quota.largest_remainder(rows, ["axis", "n"]).select("n", "key", "seats")
+
+
+@query(f"WITH {_SCORES}, {_META} SELECT DISTINCT task_id FROM graded JOIN meta USING (dialogue_id) WHERE mode = 'task'")
+def tasks_of_a_mode(spark: SparkSession, d: str) -> DataFrame:
+    """The tasks of one mode only."""
+    return _tasks(spark, d).join(checks.in_modes(_meta(spark, d), ["task"]), "dialogue_id").select("task_id")
 
 
 @query("SELECT id, rule FROM (SELECT id, unnest(list_filter([CASE WHEN speech_style IS NULL THEN 'speech_style' END, CASE WHEN source_row_index IS NULL THEN 'source_row_index' END], lambda x: x IS NOT NULL)) AS rule FROM (SELECT DISTINCT id, speech_style, source_row_index FROM users))")
