@@ -428,9 +428,18 @@ _OVER = (
 )
 
 
-@query(f"WITH {_OVER} SELECT a, b, common FROM pairs")
+_CLASSES = "sets AS (SELECT id, list_sort(list(fact)) AS fs FROM facts GROUP BY id), reps AS (SELECT fs, min(id) AS rep FROM sets GROUP BY fs)"
+
+
+@query(f"WITH {_FACTS}, {_CLASSES} SELECT id, rep FROM sets JOIN reps USING (fs)")
+def fact_copies(spark: SparkSession, d: str) -> DataFrame:
+    """Profiles with exactly the same facts, by their smallest id."""
+    return dedup.fact_classes(_facts(spark, d))
+
+
+@query(f"WITH {_OVER}, {_CLASSES} SELECT a, b, common FROM pairs WHERE a IN (SELECT rep FROM reps) AND b IN (SELECT rep FROM reps)")
 def fact_overlap_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """J12, U3."""
+    """Between the representatives of ``fact_copies``."""
     return dedup.overlap_pairs(_facts(spark, d))
 
 

@@ -97,7 +97,21 @@ def test_profile_groups_equal_pairs(spark):
         f = dedup.facts(df, "id", F.col("persona"))
         assert {r.id: r.component for r in dedup.profile_groups(f).collect()} == brute_groups(facts)
         pairs = {(r.a, r.b) for r in dedup.overlap_pairs(f).collect()}
-        assert pairs == {(a, b) for a in facts for b in facts if a < b and (len(facts[a] & facts[b]) >= 3 or facts[a] <= facts[b] or facts[b] <= facts[a])}
+        rep = {r.id: r.rep for r in dedup.fact_classes(f).collect()}
+        assert rep == {i: min(j for j in facts if facts[j] == facts[i]) for i in facts}
+        assert pairs == {(a, b) for a in set(rep.values()) for b in set(rep.values()) if a < b and (len(facts[a] & facts[b]) >= 3 or facts[a] <= facts[b] or facts[b] <= facts[a])}
+
+
+def test_long_and_crowded_profiles_are_grouped_without_their_pairs(spark):
+    rng = random.Random(2)
+    crowd = {f"c{i:03d}": {"hot1", "hot2", "hot3", f"own{i}", f"other{i}"} for i in range(120)}
+    apart = {f"s{i:03d}": {"hot1", "hot2", f"x{i}", f"y{i}"} for i in range(60)}
+    long = {f"l{k}": {f"w{j}" for j in rng.sample(range(400), 90)} | {"hot1"} for k in range(6)}
+    facts = {i: frozenset(fs) for i, fs in (crowd | apart | long).items()}
+    df = spark.createDataFrame([(i, "\n".join(sorted(fs))) for i, fs in facts.items()], "id string, persona string")
+    f = dedup.facts(df, "id", F.col("persona"))
+    assert {r.id: r.component for r in dedup.profile_groups(f).collect()} == brute_groups(facts)
+    assert dedup.overlap_edges(f).count() < 2000
 
 
 def test_batch_and_ordered_dedup_differ(spark):
