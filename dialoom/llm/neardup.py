@@ -254,29 +254,13 @@ class NearDuplicates:
     def groups(self) -> DataFrame:
         """(id, group_id, group_size): one row per text that is nearly the same as another.
 
-        A bucket of n texts costs n candidates first: every text with the smallest one of its
-        bucket. Texts so linked are one class. Only where a bucket still holds several classes are
-        the texts outside its largest class compared with those of other classes, so every link
-        that joins two classes is looked at, and a large group of texts all near each other makes
-        no pairs within.
+        A bucket's texts are linked as ``bucket_links`` does it, so a large group of texts all near
+        each other makes no pairs within.
         """
         from dialoom.operators.components import connected_components
+        from dialoom.operators.stars import bucket_links
 
-        centre = self.banded.groupBy("band").agg(F.min("x").alias("centre"), F.count("*").alias("n")).where("n > 1")
-        centre = self.scratch.table(centre.select("band", "centre"))
-        star = self.banded.join(centre, "band").where("x <> centre").select(F.col("centre").alias("x"), F.col("x").alias("y")).distinct()
-        star = self.scratch.table(star)
-        first = self.verified(star)
-        class_of = connected_components(first, "x", "y").withColumnRenamed("node", "x")
-        tagged = self.banded.join(centre.select("band"), "band", "left_semi").join(class_of, "x", "left").select("band", "x", F.coalesce("component", "x").alias("c"))
-        tagged = self.scratch.table(tagged)
-        by_class = tagged.groupBy("band", "c").agg(F.count("*").alias("n"))
-        mixed = by_class.groupBy("band").agg(F.max_by("c", F.struct("n", "c")).alias("big"), F.count("*").alias("classes")).where("classes > 1").select("band", "big")
-        inside = tagged.join(mixed, "band")
-        outside = inside.where("c <> big").select("band", F.col("x").alias("y"), F.col("c").alias("d"))
-        across = inside.select("band", "x", "c").join(outside, "band").where("c <> d").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-        second = self.verified(across.join(star, ["x", "y"], "left_anti"))
-        links = first.select("a", "b").union(second.select("a", "b"))
+        links = bucket_links(self.banded, self.verified, self.scratch).select("a", "b")
         group = connected_components(links, "a", "b").select(F.col("node").alias("rep"), "component")
         rows = self.members.join(group, "rep", "left").select("id", F.coalesce("component", "rep").alias("group_id"))
         rows = self.scratch.table(rows)

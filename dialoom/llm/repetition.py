@@ -226,8 +226,8 @@ def training_texts(df: DataFrame, text: str, train_rows: int, least_letters: int
     sample = df.where(c.isNotNull() & (F.length(c) >= least_letters))
     if every > 1:
         sample = sample.where(F.pmod(F.xxhash64(c), F.lit(every)) == 0)
-    rows = sample.select(c.alias("t")).distinct().limit(2 * train_rows).collect()
-    return sorted({r.t for r in rows}, key=_text_hash)[:train_rows]
+    rows = sample.select(c.alias("t")).distinct().orderBy(F.xxhash64("t"), "t").limit(train_rows).collect()
+    return sorted({r.t for r in rows}, key=_text_hash)
 
 
 def _apply(df: DataFrame, text: str, new: list[T.StructField], run_rows) -> DataFrame:
