@@ -74,7 +74,8 @@ def presets(spark: SparkSession, path: str, selection: str = "random") -> DataFr
         return rows
     one = rows.where(F.col("id") == selection)
     if one.isEmpty():
-        raise ValueError(f"unknown preset {selection}; available: {', '.join(r.id for r in rows.select('id').orderBy('id').take(50))}")
+        names = [r.id for r in rows.select("id").orderBy("id").take(51)]
+        raise ValueError(f"unknown preset {selection}; available: {', '.join(names[:50])}{' and more' if len(names) > 50 else ''}")
     return one
 
 

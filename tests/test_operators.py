@@ -210,6 +210,16 @@ def test_checks_and_lookups(spark):
     assert one(spark, '{"g": true}', lambda c: checks.strict_bool(c, "g")) is True and one(spark, '{"g": "false"}', lambda c: checks.strict_bool(c, "g")) is None
     with pytest.raises(ValueError):
         checks.client_settings({"timeout_seconds": 90, "retries": 9, "min_interval_seconds": 1})
+    base = {"timeout_seconds": 90, "retries": 2, "min_interval_seconds": 1}
+    end = {"base_url_env": "B", "model_env": "M", "api_key_env": "K"}
+    checks.client_settings(base | {"models": {"user": end, "character": "user"}})
+    checks.client_settings(base | {"judge": end | {"json_mode": True, "max_tokens": 10, "temperature": 0.5}}, judge=True)
+    for wrong in ({"more": 1}, {"models": {"user": {"api_key": "x"}}}, {"models": {"user": 3}}):
+        with pytest.raises(ValueError):
+            checks.client_settings(base | wrong)
+    for wrong in (None, {"base_url_env": "B"}, end | {"json_mode": 1}, end | {"max_tokens": True}, end | {"temperature": 3}, end | {"authorization": "x"}):
+        with pytest.raises(ValueError):
+            checks.client_settings(base | {"judge": wrong}, judge=True)
     rows = spark.createDataFrame([("u1", "d"), ("u2", "d"), ("u3", "d")], "uid string, remembered string")
     cat = spark.createDataFrame([("u1", "d"), ("u2", "e")], "uid string, digest string")
     ok, bad = lookups.lookup(rows, cat, "uid", "digest", "remembered")
