@@ -46,6 +46,11 @@ LOOK_ALIKES = {
     "‐": "-", "‑": "-", "‚": ",", "∶": ":", "꞉": ":", "։": ":", "ǃ": "!", "⁄": "/", "∕": "/", "ʼ": "’",
 }
 
+# Letters of Lisu and Coptic, and further ones of Cherokee, with the shape of Latin letters.
+LOOK_ALIKES |= dict(zip("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFMNLSRVHWXYAEIOU"))
+LOOK_ALIKES |= dict(zip("ⲎⲔⲘⲚⲞⲢⲤⲦⲬⲟⲣⲥ", "HKMNOPCTXopc"))
+LOOK_ALIKES |= dict(zip("ᎠᎡᏀᎬᏞᏚ", "DRGELS"))
+
 # Kana that look like ideographs or like the other kana. They are replaced last, when
 # voicing marks have joined their kana, so that texts can be compared; for reading, those that
 # stand beside other katakana and before no ideograph become katakana again.

@@ -38,7 +38,7 @@ def forms(spark, texts, **how):
 
 
 def test_uniform_joins_what_looks_the_same(spark):
-    same = [("Ａｂｃ１", "Abc1"), ("é", "é"), ("a​b⁠c", "abc"), ("a b　c d", "a b c d"), ("сосо", "coco"), ("ΑΒΕ", "ABE"), ("⼈⼝", "人口"), ("ﾊﾞﾚ", "バレ"), ("ﬁn", "fin"), ("a‐b", "a-b"), ("ё", "ë"), ("不", "不"), ("a\r\nb", "a\nb"), ("！？", "!?"), ("і́", "í")]
+    same = [("Ａｂｃ１", "Abc1"), ("é", "é"), ("a​b⁠c", "abc"), ("a b　c d", "a b c d"), ("сосо", "coco"), ("ΑΒΕ", "ABE"), ("ꓐꓳꓠⲞ", "BONO"), ("ᎠᏞ", "DL"), ("⼈⼝", "人口"), ("ﾊﾞﾚ", "バレ"), ("ﬁn", "fin"), ("a‐b", "a-b"), ("ё", "ë"), ("不", "不"), ("a\r\nb", "a\nb"), ("！？", "!?"), ("і́", "í")]
     got = forms(spark, [x for p in same for x in p])
     for (a, b), x, y in zip(same, got[::2], got[1::2]):
         assert x == y, (a, b)
