@@ -223,20 +223,19 @@ for _l, _ws in _WORDS.items():
     for _w in _ws:
         _HINT.setdefault(_w, {})[_l] = 1.0
 _WORD = regex.compile(r"[^\W\d_]+")
-_KANA = regex.compile(r"[\p{Hiragana}\p{Katakana}]")
-_HAN = regex.compile(r"\p{Han}")
-_CYR = regex.compile(r"\p{Cyrillic}")
-_HANG = regex.compile(r"\p{Hangul}")
-_LAT = regex.compile(r"\p{Latin}")
+_KANA = regex.compile(r"[\p{Hiragana}\p{Katakana}]+")
+_HAN = regex.compile(r"\p{Han}+")
+_CYR = regex.compile(r"\p{Cyrillic}+")
+_HANG = regex.compile(r"\p{Hangul}+")
+_LAT = regex.compile(r"\p{Latin}+")
 _ACCENT = regex.compile(r"[áéíóúñ¿¡]", regex.I)
 
 
 def main_language(text: str) -> tuple[str | None, float]:
     """The language a text is mainly written in, and its weight in letters (ideographs count 3)."""
-    kana, han = len(_KANA.findall(text)), len(_HAN.findall(text))
-    if text.isascii():
-        kana = han = 0
-    cyr, hang, lat = (len(p.findall(text)) for p in (_CYR, _HANG, _LAT)) if not text.isascii() else (0, 0, len(_LAT.findall(text)))
+    ascii_ = text.isascii()
+    kana, han, cyr, hang = (0, 0, 0, 0) if ascii_ else (sum(map(len, p.findall(text))) for p in (_KANA, _HAN, _CYR, _HANG))
+    lat = sum(map(len, _LAT.findall(text)))
     japanese = kana >= 0.3 * (kana + han)
     if not japanese and kana > 0.03 * han:
         # a repeated piece counts once

@@ -16,7 +16,7 @@ MISSING_SHARE, MISSING_WORD = 0.25, 16
 #: Letters of a lead-in, or this share of the question; whole questions may have longer ones.
 LEAD_LETTERS, LEAD_SHARE = 16, 0.2
 #: Letters of the question for each tile beyond the first two (ideographs count double).
-LETTERS_PER_TILE = 8
+LETTERS_PER_TILE = 12
 
 
 class Automaton:
@@ -133,23 +133,36 @@ def _one_saying(question: str, reply: str, least: int) -> tuple[list[tuple[int,
     return _runs(in_q), _runs(in_r), len(found)
 
 
-def may_be_copy(question: str, reply: str, least: int) -> bool:
-    """A necessary condition: the pieces of ``least`` letters that tiles of a copy must share."""
-    q = len(question)
-    per_tile = LETTERS_PER_TILE if question.isascii() else LETTERS_PER_TILE // 2
-    need = 0.5 * q - (2 + q / per_tile) * (least - 1)
+def _share_pieces(a: str, b: str, least: int, need: float) -> bool:
+    """Whether at least ``need`` of the pieces of ``least`` letters of ``a`` stand in ``b``."""
     if need <= 0:
         return True
-    grams = {reply[i : i + least] for i in range(len(reply) - least + 1)} if len(reply) > 400 else reply
-    left = q - least + 1 - need  # so many may be missing
-    for i in range(q - least + 1):
-        if question[i : i + least] not in grams:
+    grams = {b[i : i + least] for i in range(len(b) - least + 1)} if len(b) > 200 else b
+    left = len(a) - least + 1 - need  # so many may be missing
+    for i in range(len(a) - least + 1):
+        if a[i : i + least] not in grams:
             left -= 1
             if left < 0:
                 return False
     return True
 
 
+def may_be_copy(question: str, reply: str, least: int, most: float, missing: float, lead: float) -> bool:
+    """A necessary condition: letters, and pieces of ``least`` letters, that a copy must share.
+
+    The reply has all letters of the question but for those missing, and beyond the lead-in none
+    that the question has not. A tile of n letters has n + 1 - least of them, and at each of its ends up to least - 1 letters
+    may be covered beside the tiles; so both texts must share what they cover less twice that for
+    each tile.
+    """
+    own = set(question)
+    if sum(max(0, question.count(c) - reply.count(c)) for c in own) > missing or sum(map(reply.count, set(reply) - own)) > lead:
+        return False
+    lost = 2 * (least - 1) * most
+    said = max(1, -(-len(reply) // len(question)))
+    return _share_pieces(question, reply, least, len(question) - missing - lost) and _share_pieces(reply, question, least, len(reply) - lead - said * lost)
+
+
 def is_copy(question: str, reply: str) -> bool:
     """Letters of the question and of the reply: does the reply only say the question again?
 
@@ -165,11 +178,10 @@ def is_copy(question: str, reply: str) -> bool:
     if question == reply:
         return True
     least = 3 if question.isascii() else 2
-    missing = min(0.5 * q, max(MISSING_WORD, MISSING_SHARE * q))
-    if len(reply) < q - missing or not may_be_copy(question, reply, least):
-        return False
+    missing, lead = min(0.5 * q, max(MISSING_WORD, MISSING_SHARE * q)), max(LEAD_LETTERS, LEAD_SHARE * q)
     most = 2 + q / (LETTERS_PER_TILE if question.isascii() else LETTERS_PER_TILE // 2)
-    lead = max(LEAD_LETTERS, LEAD_SHARE * q)
+    if len(reply) < q - missing or not may_be_copy(question, reply, least, most, missing, lead):
+        return False
     if question in reply:
         # the longest tile possible: what is around it is a lead-in or must be the question again
         before, _, after = reply.partition(question)
