@@ -12,8 +12,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     """``(node, component)``: every node of an edge with the smallest node it is connected to.
 
     Nodes are numbered once, exactly: two nodes never share a number, whatever their names. In each
-    round every node that still has an edge moves to its smallest neighbour and edges are rewritten
-    to the new ends; loops and repeated edges vanish. The order of the numbers is mixed, so no
+    round every node that still has an edge moves to its smallest neighbour, and on to where that
+    one moves, and edges are rewritten to the new ends; loops and repeated edges vanish. The order of the numbers is mixed, so no
     order of the rows makes long chains. The number of edges falls by a constant factor, so the
     rounds grow with the logarithm of the graph, and so do the tables of moves: they are put
     together at the end, the smallest first. Neighbours are reduced by a minimum, combined before
@@ -37,7 +37,9 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         if len(moves) == max_rounds:
             raise RuntimeError(f"no end after {max_rounds} rounds")
         both = links.union(links.select("v", "u"))
-        step = scratch.table(both.groupBy("u").agg(F.least("u", F.min("v")).alias("to")))
+        near = both.groupBy("u").agg(F.least("u", F.min("v")).alias("to"))
+        on = near.select(F.col("u").alias("to"), F.col("to").alias("far"))
+        step = scratch.table(near.join(on, "to").select("u", F.col("far").alias("to")))
         ends = (
             links.join(step.select("u", F.col("to").alias("x")), "u")
             .join(step.select(F.col("u").alias("v"), F.col("to").alias("y")), "v")
